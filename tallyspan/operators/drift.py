@@ -28,8 +28,10 @@ from tallyspan.functions.text import fold_width, trim_header, trim_space
 from tallyspan.session import cut
 
 TYPES = ["integer", "decimal", "date", "text"]
-#: A removed and an added column are one renamed column from this similarity of content on.
-SAME_CONTENT = 0.5
+#: A removed and an added column are one renamed column from this similarity of content on; from the second one if their
+#: headers agree (small files), and with the third share of answers that any yes/no column has only if headers have a part in common.
+SAME_CONTENT, ALIKE_CONTENT, PLAIN_ANSWERS = 0.5, 0.3, 0.9
+ANSWERS = ["tあり", "tなし", "t不明", "t有", "t無", "n0", "n1", "tはい", "tいいえ"]
 
 
 def clean_map(c: Column) -> Column:
@@ -67,12 +69,10 @@ def rescue(rows: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
     base = rows.select("row_id", "_file", "_year", clean_map(F.col("_extra")).alias("_m"))
     cast = {f"_t{i}": cast_to(trim_space(F.try_element_at("_m", F.lit(c))), k) for i, (c, k) in enumerate(target.items())}
     base = base.withColumns(cast) if cast else base
-    done = F.lit(False)
     kept = F.col("_m")
     if target:
         typed = F.array_compact(F.array(*[F.when(F.col(f"_t{i}").isNotNull(), F.lit(c)) for i, c in enumerate(target)]))
         kept = F.map_filter("_m", lambda k, _: ~F.array_contains(typed, k))
-    del done
     return base.select("row_id", "_file", "_year", *[F.col(f"_t{i}").alias(c) for i, c in enumerate(target)], F.to_json(kept, {"ignoreNullFields": "false"}).alias("_rescued"))
 
 
@@ -125,7 +125,7 @@ def loaded_files(files: DataFrame) -> DataFrame:
 
 def _stand_in(c: Column) -> Column:
     """Header without the marks that spellings differ in, as a set of characters for comparing headers."""
-    return F.array_distinct(F.split(F.regexp_replace(fold_width(c), r"[\s()の]", ""), ""))
+    return F.array_distinct(F.split(F.regexp_replace(fold_width(c), r"[\s()の]|有無", ""), ""))
 
 
 def steps(rows: DataFrame, files: DataFrame) -> DataFrame:
@@ -166,15 +166,55 @@ def scored_pairs(both: DataFrame, moved: DataFrame) -> DataFrame:
     hist = hist.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("_file", "column", "side")))
     old = hist.where(F.col("side") == 0).select("_file", F.col("column").alias("old_column"), "tok", F.col("p").alias("p_old"))
     new = hist.where(F.col("side") == 1).select("_file", F.col("column").alias("new_column"), "tok", F.col("p").alias("p_new"))
-    common = old.join(new, ["_file", "tok"]).groupBy("_file", "old_column", "new_column").agg(F.sum(F.least("p_old", "p_new")).alias("content"))
+    common = old.join(new, ["_file", "tok"]).groupBy("_file", "old_column", "new_column").agg(
+        F.sum(F.least("p_old", "p_new")).alias("content"), F.sum(F.when(F.col("tok").isin(ANSWERS), F.least("p_old", "p_new")).otherwise(0)).alias("answers")
+    )
     a, b = _stand_in(F.col("old_column")), _stand_in(F.col("new_column"))
     return common.withColumn("header", F.size(F.array_intersect(a, b)) / F.greatest(F.least(F.size(a), F.size(b)), F.lit(1)))
 
 
 def renamed_pairs(both: DataFrame, moved: DataFrame) -> DataFrame:
     """One-to-one pairs of removed and added columns with the same content, best first."""
-    good = scored_pairs(both, moved).where(F.col("content") >= SAME_CONTENT)
+    good = scored_pairs(both, moved).where(
+        ((F.col("content") >= SAME_CONTENT) | ((F.col("content") >= ALIKE_CONTENT) & (F.col("header") >= 0.8)))
+        & ((F.col("answers") < PLAIN_ANSWERS * F.col("content")) | (F.col("header") > 0))
+    )
     ranked = good.groupBy("_file").agg(F.sort_array(F.collect_list(F.struct((-(F.col("content") + F.col("header") / 2)).alias("rank"), "old_column", "new_column"))).alias("pairs"))
     none = F.filter("pairs", lambda _: F.lit(False))
     taken = F.aggregate("pairs", none, lambda acc, p: F.when(F.exists(acc, lambda t: (t["old_column"] == p["old_column"]) | (t["new_column"] == p["new_column"])), acc).otherwise(F.concat(acc, F.array(p))))
     return ranked.select("_file", F.explode(taken).alias("p")).select("_file", "p.old_column", "p.new_column")
+
+
+def promote(rows: DataFrame, approved: dict[str, str], synonyms: dict[str, str]) -> DataFrame:
+    """One consistent table: ``approved`` columns typed, ``synonyms`` (header → approved column) replayed into them, every
+    other or uncastable field left in ``_rescued``."""
+    first = rescue(rows, approved)
+    fields = F.from_json("_rescued", "map<string,string>")
+    first = first.withColumn("_r", fields)
+    filled = {}
+    for c, k in approved.items():
+        names = [h for h, to in synonyms.items() if to == c]
+        late = [cast_to(trim_space(F.try_element_at("_r", F.lit(h))), k) for h in names]
+        filled[c] = F.coalesce(F.col(c), *late)
+    used = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(k).alias("k")) for h, k in ((h, approved[to]) for h, to in synonyms.items() if to in approved)])
+    of_kind = lambda k: F.transform(F.filter(used, lambda u: u["k"] == k), lambda u: u["h"])
+    rest = F.map_filter("_r", lambda h, v: ~(
+        (F.array_contains(of_kind("integer"), h) & cast_to(trim_space(v), "integer").isNotNull())
+        | (F.array_contains(of_kind("decimal"), h) & cast_to(trim_space(v), "decimal").isNotNull())
+        | (F.array_contains(of_kind("date"), h) & cast_to(trim_space(v), "date").isNotNull())
+        | F.array_contains(of_kind("text"), h)
+    ))
+    return first.select("row_id", "_file", "_year", *[v.alias(c) for c, v in filled.items()], F.to_json(rest, {"ignoreNullFields": "false"}).alias("_rescued"))
+
+
+#: Approved columns of the one table and the headers replayed into them (fixed values of the delivered files).
+APPROVED = {"施錠関係": "text", "被害者の年齢": "integer", "被害者の職業": "text", "被害額": "integer", "届出日": "date", "発生場所": "text", "天候": "text", "備考": "text"}
+SYNONYMS = {
+    "鍵の状態": "施錠関係", "施錠の有無": "施錠関係", "施錠状況": "施錠関係",
+    "被害者年齢": "被害者の年齢", "年齢（被害者）": "被害者の年齢", "被害者の年齢（歳）": "被害者の年齢",
+    "職業（被害者）": "被害者の職業", "被害者職業": "被害者の職業",
+    "被害金額": "被害額", "損害額（円）": "被害額",
+    "届出年月日": "届出日", "受理日": "届出日",
+    "発生した場所": "発生場所", "場所区分": "発生場所",
+    "当日の天気": "天候", "天気": "天候", "摘要": "備考", "メモ": "備考",
+}
