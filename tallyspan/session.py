@@ -41,3 +41,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: A side is broadcast only after it was counted and holds no more rows than this.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a bounded count proves it small; unmarked (shuffled join) otherwise."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
