@@ -96,16 +96,14 @@ def canonical(text: str | None) -> str | None:
 
 
 def skeleton(text: str | None) -> str | None:
-    """Canonical text with look-alike letters folded; letters with marks are folded by their base."""
+    """Canonical text taken apart into letters and marks, look-alike letters folded: equal exactly for texts that look the same."""
     if text is None:
         return None
     same = tables()[1]
-    out = canonical(text).translate(same)
+    out = canonical(text)
     if not out.isascii():
-        out = re.sub(r"[À-ӿḀ-῿]+", lambda m: unicodedata.normalize("NFC", unicodedata.normalize("NFD", m.group()).translate(same)), out)
-        # a mark after a folded letter composes now (Greek or Cyrillic capital with acute)
-        out = unicodedata.normalize("NFC", out) if not any(_ideograph(ord(c)) for c in out) else out
-    return out
+        out = "".join(c if _ideograph(ord(c)) else unicodedata.normalize("NFD", c) for c in out) if any(_ideograph(ord(c)) for c in out) else unicodedata.normalize("NFD", out)
+    return out.translate(same)
 
 
 def _mapped(fn, c: Column) -> Column:

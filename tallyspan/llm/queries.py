@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import lookalike
+from tallyspan.llm import lookalike, mojibake
 from tallyspan.session import table
 
 QUERIES = {
+    "p3_found": lambda s, d: mojibake.found(table(s, d, "incidents"), table(s, d, "boundary"), table(s, d, "areas")),
+    "p3_restored": lambda s, d: mojibake.restored(table(s, d, "incidents"), table(s, d, "boundary"), table(s, d, "areas")),
     "p6_found": lambda s, d: lookalike.lookalikes(table(s, d, "boundary"), table(s, d, "area_counts"), table(s, d, "areas")),
     "p6_one_form": lambda s, d: lookalike.one_form(table(s, d, "boundary"), table(s, d, "area_counts"), table(s, d, "areas")),
 }
