@@ -18,6 +18,7 @@ import re
 import unicodedata
 from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,8 +108,6 @@ def skeleton(text: str | None) -> str | None:
 
 
 def _mapped(fn, c: Column) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.map(fn, na_action="ignore")
