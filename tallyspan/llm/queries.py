@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import lookalike, mojibake
+from tallyspan.llm import leakage, lookalike, mojibake
 from tallyspan.session import table
 
 QUERIES = {
@@ -10,6 +10,9 @@ QUERIES = {
     "p3_restored": lambda s, d: mojibake.restored(table(s, d, "incidents"), table(s, d, "boundary"), table(s, d, "areas")),
     "p6_found": lambda s, d: lookalike.lookalikes(table(s, d, "boundary"), table(s, d, "area_counts"), table(s, d, "areas")),
     "p6_one_form": lambda s, d: lookalike.one_form(table(s, d, "boundary"), table(s, d, "area_counts"), table(s, d, "areas")),
+    "p7_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p7_spans": lambda s, d: leakage.spans(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p7_cleaned": lambda s, d: leakage.cleaned(table(s, d, "documents"), table(s, d, "eval_items")),
 }
 
 SQL: dict[str, str] = {}
