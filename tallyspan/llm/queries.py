@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import leakage, lookalike, mojibake
+from tallyspan.llm import leakage, lookalike, mojibake, sentences
 from tallyspan.session import table
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "p7_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
     "p7_spans": lambda s, d: leakage.spans(table(s, d, "documents"), table(s, d, "eval_items")),
     "p7_cleaned": lambda s, d: leakage.cleaned(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p9_found": lambda s, d: sentences.split(table(s, d, "documents")),
 }
 
 SQL: dict[str, str] = {}
