@@ -237,7 +237,7 @@ class _Block:
 
     def capital(self, k: int) -> bool:
         """A capitalised word begins at ``k``."""
-        return self.t[k].isupper() and k + 1 < self.b and (self.t[k + 1].islower() or self.t[k + 1] == " ")
+        return self.t[k].isupper() and k + 1 < self.b and (self.t[k + 1].islower() or self.t[k + 1] in " .")
 
     def starts_line(self, s: int) -> bool:
         return s == self.a or self.t[s - 1] == "\n"
@@ -337,13 +337,18 @@ class _Wrapping:
                 cut.append((b - a, False))
         lengths = [b - a for a, b in lines]
         most = max(lengths, default=0)
+        plain = [k for k in joined if not (LIST_MARK.match(text, *lines[k]) or LIST_MARK.match(text, *lines[k + 1]) or ENDS_STOPPED.search(text, *lines[k]))]
         same = sum(lengths[k] == most for k in joined)
         if cut and len({n for n, _ in cut}) == 1 and (any(w for _, w in cut) or len(cut) > 2) and cut[0][0] == most:
             self.exact = most
-        elif same >= 2 and most >= 16 and 2 * same >= len(joined) and any(CJK.match(text[lines[k][1] - 1]) or _thai(text[lines[k][1] - 1]) for k in joined):
+        elif same >= 2 and most >= 16 and plain and all(lengths[k] == most for k in plain) and any(CJK.match(text[lines[k][1] - 1]) or _thai(text[lines[k][1] - 1]) for k in plain):
             self.exact = most
         elif cut:
-            self.width = max(n for n, _ in cut)
+            self.width = sorted(n for n, _ in cut)[len(cut) // 2]
+
+    def fills(self, text: str, a: int, b: int, c: int, d: int) -> bool:
+        """The line is as long as wrapped ones are."""
+        return self.width > 0 and (b - a >= 0.8 * self.width or _greedy(text, a, b, c, d, self.width))
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -395,15 +400,20 @@ def _between(text: str, before: tuple[int, int], after: tuple[int, int], wrap: _
     marked, listed = bool(LIST_MARK.match(text, c, d)), bool(LIST_MARK.match(text, a, b))
     if wrap.exact and b - a == wrap.exact and not (marked and ENDS_STOPPED.search(text, a, b)):
         return "glued"
+    if text[b - 1] in ".．" and text[b - 2 : b - 1].isdigit() and text[c].isdigit() and not marked:
+        return "glued"
     if marked:
         return "hard"
     if ENDS_STOPPED.search(text, a, b):
-        return "hard" if listed else "soft"
+        if any(o < b <= e for o, e in _partners(text, a, d).items()):  # a quotation or bracket goes on in the next line
+            return "glued" if CJK.match(text[c]) else "soft"
+        low = text[c].islower() and text[c].isascii() and not text[c + 1 : c + 2].isupper() and ENDS_STOPPED.search(text, c, d) and b - a > 30
+        return "soft" if not listed and (low or wrap.fills(text, a, b, c, d)) else "hard"
     if CLOSES_FIRST.match(text, c, d) or not listed and HOLDS_BACK.search(text, a, b) and text[b - 1] not in ":：-–":
         return "soft"
     if _thai(text[b - 1]) and _thai(text[c]):
         return "hard"
-    if wrap.width and _greedy(text, a, b, c, d, wrap.width):
+    if not _thai(text[b - 1]) and not listed and wrap.width and _count(text[a:b]) > 1 or wrap.fills(text, a, b, c, d):
         return "soft"
     return "hard"
 
