@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import leakage, lookalike, mojibake, sentences
+from tallyspan.llm import canonical, leakage, lookalike, mojibake, sentences
 from tallyspan.session import table
 
 QUERIES = {
+    "p1_found": lambda s, d: canonical.map_values(table(s, d, "town_entries"), table(s, d, "areas")),
+    "p1_mapped": lambda s, d: canonical.mapped(table(s, d, "town_entries"), table(s, d, "areas")),
+    "p1_unmatched": lambda s, d: canonical.unmatched(table(s, d, "town_entries"), table(s, d, "areas")),
     "p3_found": lambda s, d: mojibake.found(table(s, d, "incidents"), table(s, d, "boundary"), table(s, d, "areas")),
     "p3_restored": lambda s, d: mojibake.restored(table(s, d, "incidents"), table(s, d, "boundary"), table(s, d, "areas")),
     "p6_found": lambda s, d: lookalike.lookalikes(table(s, d, "boundary"), table(s, d, "area_counts"), table(s, d, "areas")),
