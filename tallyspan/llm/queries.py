@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import canonical, leakage, lookalike, mojibake, sentences
+from tallyspan.llm import canonical, leakage, lookalike, mixing, mojibake, sentences
 from tallyspan.session import table
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "p7_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
     "p7_spans": lambda s, d: leakage.spans(table(s, d, "documents"), table(s, d, "eval_items")),
     "p7_cleaned": lambda s, d: leakage.cleaned(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p8_selection": lambda s, d: mixing.selection(table(s, d, "documents"), table(s, d, "mix_targets")),
+    "p8_curriculum": lambda s, d: mixing.selection(table(s, d, "documents"), table(s, d, "mix_targets"), mixing.LATE),
+    "p8_shares": lambda s, d: mixing.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
     "p9_found": lambda s, d: sentences.split(table(s, d, "documents")),
 }
 
