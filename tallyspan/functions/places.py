@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIGITS = "〇一二三四五六七八九"
 RUN = re.compile(f"[{DIGITS}十]+")
@@ -29,7 +30,7 @@ def read_number(s: str, unknown_ones: int | None = None) -> int | None:
     return None if low is None else high * 10 + low
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
@@ -39,7 +40,7 @@ def digits_of(s: str) -> str:
     return RUN.sub(lambda m: str(n) if (n := read_number(m.group(), 0)) is not None else m.group(), s)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def kanji_digits(s: pd.Series) -> pd.Series:
     return s.map(digits_of, na_action="ignore")
 

@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PLAIN = r"\A(?i:https?)://[^\s\\/?#@]+(?:[/?#]\S*)?\z"
 
@@ -49,7 +50,7 @@ def _bytes_normal(s: str) -> str:
     return "".join(undo(re.fullmatch(r"%(..)", p)) if re.fullmatch(r"%[0-9A-Fa-f]{2}", p) else re.sub(r"[^\x21-\x7e]", lambda m: f"%{ord(m.group()):02X}", p) for p in parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def percent_normal(s: pd.Series) -> pd.Series:
     return s.map(_bytes_normal, na_action="ignore")
 
@@ -90,7 +91,7 @@ def parse_robots(text: str | None) -> list[tuple[int, str, str | None, str | Non
     return rows
 
 
-@F.pandas_udf("array<struct<grp int, agent string, directive string, value string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("grp", T.IntegerType()), *[T.StructField(n, T.StringType()) for n in ("agent", "directive", "value")]])))
 def robots_rows(s: pd.Series) -> pd.Series:
     return s.map(lambda t: [dict(zip(("grp", "agent", "directive", "value"), r)) for r in parse_robots(t)])
 

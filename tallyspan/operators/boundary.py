@@ -15,6 +15,7 @@ import struct
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspan.functions.places import with_key
 
@@ -78,7 +79,7 @@ def rings(wkb: bytes | None) -> list[list[tuple[float, float]]]:
     return out
 
 
-@F.pandas_udf("struct<x0 double, y0 double, x1 double, y1 double>")
+@F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x0", "y0", "x1", "y1")]))
 def box(s: pd.Series) -> pd.DataFrame:
     rows = []
     for w in s:
@@ -120,7 +121,7 @@ def gap(one: bytes, two: bytes) -> float:
     return min(_apart(p, q, r, s) for ra in a for p, q in zip(ra, ra[1:]) for rb in b for r, s in zip(rb, rb[1:]))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def gaps(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([gap(x, y) for x, y in zip(a, b)], dtype="float64")
 
@@ -144,7 +145,7 @@ def simplify_ring(ring: list, tolerance: float = TOUCH) -> list:
     return out if len(out) >= 4 else ring
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def geojson_geometry(s: pd.Series) -> pd.Series:
     """GeoJSON of the (simplified) polygon; parts of a merged area come as one multipolygon."""
     import json

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HEAD = 4096
 
@@ -31,7 +32,7 @@ def sniff(head: bytes, whole: bool = False) -> str:
         return "cp932"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def encoding_of(content: pd.Series, length: pd.Series) -> pd.Series:
     return pd.Series([sniff(c[:HEAD], n <= HEAD) for c, n in zip(content, length)])
 
