@@ -22,32 +22,36 @@ from tallyspan.functions import sdc
 
 def suppress(df: DataFrame, group: list[str], value: str, ord_: list[str], pop: str | None = None) -> DataFrame:
     """``df`` with ``state`` (shown, small, withheld), ``published`` (null where hidden), ``pinned`` (the group still gives a cell away)."""
+    # the row is packed away, so that no column of it can clash with the working ones
+    keys, order = [f"g{i}" for i in range(len(group))], [f"o{i}" for i in range(len(ord_))]
+    kept = [c for c in df.columns if c not in ("state", "published", "pinned")]
     v = F.coalesce(F.col(value), F.lit(0)).cast("bigint")
-    small = sdc.is_small(v)
-    line = (~small & (v > 0) & sdc.suppress_count(v, F.col(pop))) if pop else F.lit(False)
-    d = df.withColumns({"_v": v, "_small": small, "_line": line}).withColumn("_cand", (F.col("_v") > sdc.MAX_SMALL) & ~F.col("_line"))
+    d = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *[F.col(c).alias(k) for c, k in zip(group, keys)], *[F.col(c).alias(o) for c, o in zip(ord_, order)],
+        v.alias("v"), (F.col(pop) if pop else F.lit(None).cast("bigint")).alias("pop"),
+    )
+    line = (~sdc.is_small(F.col("v")) & (F.col("v") > 0) & sdc.suppress_count(F.col("v"), F.col("pop"))) if pop else F.lit(False)
+    d = d.withColumns({"small": sdc.is_small(F.col("v")), "line": line}).withColumn("cand", (F.col("v") > sdc.MAX_SMALL) & ~F.col("line"))
     # pass 1: group aggregates, partially aggregated before the exchange
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    hidden = F.col("_small") | F.col("_line")
-    g = d.groupBy(*group).agg(
-        one(F.col("_small")).alias("_ns"), one(F.col("_line")).alias("_nl"), F.sum(F.when(hidden, F.col("_v")).otherwise(0)).alias("_t"),
-        one(F.col("_cand")).alias("_c"), one(F.col("_cand") & (F.col("_v") == 3)).alias("_n3"),
+    hidden = F.col("small") | F.col("line")
+    g = d.groupBy(*keys).agg(
+        one(F.col("small")).alias("ns"), one(F.col("line")).alias("nl"), F.sum(F.when(hidden, F.col("v")).otherwise(0)).alias("t"),
+        one(F.col("cand")).alias("c"), one(F.col("cand") & (F.col("v") == 3)).alias("n3"),
     )
-    k, lo, hi = F.col("_ns") + F.col("_nl"), F.col("_ns") + 3 * F.col("_nl"), 2 * F.col("_ns") + sdc.LINE_MAX * F.col("_nl")
-    determined = (k > 0) & ((k == 1) | (F.col("_t") == lo) | (F.col("_t") == hi))
-    need = F.when(~determined, 0).when(F.col("_t") > lo, F.least(F.lit(1), F.col("_c"))).otherwise(F.least(F.col("_n3") + 1, F.col("_c")))
-    g = g.withColumns({"_m": need, "_det": determined, "_lo": lo})
-    j = d.join(g.withColumnsRenamed({c: f"_g_{c}" for c in group}), [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]).drop(*[f"_g_{c}" for c in group])
+    k, lo, hi = F.col("ns") + F.col("nl"), F.col("ns") + 3 * F.col("nl"), 2 * F.col("ns") + sdc.LINE_MAX * F.col("nl")
+    determined = (k > 0) & ((k == 1) | (F.col("t") == lo) | (F.col("t") == hi))
+    need = F.when(~determined, 0).when(F.col("t") > lo, F.least(F.lit(1), F.col("c"))).otherwise(F.least(F.col("n3") + 1, F.col("c")))
+    g = g.select(*[F.col(x).alias(f"h{x}") for x in keys], "nl", "t", need.alias("m"), determined.alias("det"), lo.alias("lo"))
+    j = d.join(g, [F.col(x).eqNullSafe(F.col(f"h{x}")) for x in keys])
     # pass 2: rank candidates where any are needed
-    w = Window.partitionBy(*group, "_cand").orderBy("_v", *ord_)
-    j = j.withColumn("_rank", F.when(F.col("_cand") & (F.col("_m") > 0), F.row_number().over(w)))
-    added = F.coalesce(F.col("_rank") <= F.col("_m"), F.lit(False))
-    j = j.withColumn("_added", added)
-    total_added = F.sum(F.when(F.col("_added"), F.col("_v")).otherwise(0)).over(Window.partitionBy(*group))
-    withheld = F.col("_line") | F.col("_added") | (F.col("_small") & ((F.col("_nl") > 0) | (F.col("_m") > 0)))
-    pinned = (F.col("_det") & (F.col("_m") == 0)) | ((F.col("_m") > 0) & (F.col("_t") + total_added == F.col("_lo") + 3 * F.col("_m")))
-    state = F.when(withheld, "withheld").when(F.col("_small"), "small").otherwise("shown")
-    return j.withColumns({"state": state, "pinned": pinned}).withColumn("published", F.when(F.col("state") == "shown", F.col("_v"))).select(*df.columns, "state", "published", "pinned")
+    rank = F.when(F.col("cand") & (F.col("m") > 0), F.row_number().over(Window.partitionBy(*keys, "cand").orderBy("v", *order)))
+    j = j.withColumn("added", F.coalesce(rank <= F.col("m"), F.lit(False)))
+    total_added = F.sum(F.when(F.col("added"), F.col("v")).otherwise(0)).over(Window.partitionBy(*keys))
+    withheld = F.col("line") | F.col("added") | (F.col("small") & ((F.col("nl") > 0) | (F.col("m") > 0)))
+    pinned = (F.col("det") & (F.col("m") == 0)) | ((F.col("m") > 0) & (F.col("t") + total_added == F.col("lo") + 3 * F.col("m")))
+    state = F.when(withheld, "withheld").when(F.col("small"), "small").otherwise("shown")
+    return j.select("row", "v", state.alias("state"), pinned.alias("pinned")).select("row.*", "state", F.when(F.col("state") == "shown", F.col("v")).alias("published"), "pinned")
 
 
 def complement_sql(cells: str, group: str, ord_: str, pop: str | None = "pop") -> str:
