@@ -33,7 +33,7 @@ KANA = re.compile(r"[぀-ヿｦ-ﾟ]")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ가-힣]")
 
 #: Abbreviations that never end a sentence, and those that do if a sentence can begin after them (fixed values).
-NEVER = """dr mr mrs ms prof sgt st no nos fig figs app vs cf e.g i.e approx ca vgl tab nr hr sr sra srta dra av pág pag págs núm num env art arts vol vols ver p pp
+NEVER = """fr frl dr mr mrs ms prof sgt st no nos fig figs app vs cf e.g i.e approx ca vgl tab nr hr sr sra srta dra av pág pag págs núm num env art arts vol vols ver p pp
 tr tp mme mlle messrs rev hon gen col lt capt cmdr gov sen rep ed eds ex bzw d.h z.b u.a s.o s.u inkl zzgl evtl ggf bspw abs aufl str tel ph.d cap ch sec sect eq
 l'art n.o nº mt ft ud uds ths gs ts pgs bs ths fl op cit ibid viz al डॉ श्री सं प्रो कु पृ د ص أ م ดร อ จ ต ถ พ.ศ ค.ศ ร.ร โทร""".split()
 MAYBE = """etc usw a.m p.m ltd co inc corp jr bros u.s u.k u.n jan feb mar apr jun jul aug sep sept oct nov dec mon tue tues wed thu thur thurs fri sat sun
@@ -205,7 +205,7 @@ class _Block:
                 return False
             if spaced:
                 return _begins(t, k)
-            return not self.kana and len(run) > 1 and bool(CJK.match(n)) and bool(CJK.match(p or " "))
+            return not self.kana and len(run) > 1 and bool(CJK.match(n) or n in OPEN) and bool(CJK.match(p or " "))
         return self.period_ends(s, i, k, spaced, n, p)
 
     def period_ends(self, s: int, i: int, k: int, spaced: bool, n: str, p: str) -> bool:
