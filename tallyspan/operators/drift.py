@@ -34,11 +34,13 @@ SAME_CONTENT, ALIKE_CONTENT, PLAIN_ANSWERS = 0.5, 0.3, 0.9
 ANSWERS = ["tあり", "tなし", "t不明", "t有", "t無", "n0", "n1", "tはい", "tいいえ"]
 
 
-def clean_map(c: Column) -> Column:
-    """The map with trimmed keys; of keys that become equal the first stays, an empty key goes."""
-    items = F.transform(F.map_entries(c), lambda e: F.struct(trim_header(e["key"]).alias("key"), e["value"].alias("value")))
-    keys = F.transform(items, lambda e: e["key"])
-    return F.map_from_entries(F.filter(items, lambda e, i: (e["key"] != "") & (F.array_position(keys, e["key"]) == i + 1)))
+def with_clean_map(df: DataFrame, source: str, out: str) -> DataFrame:
+    """The map with trimmed keys; of keys that become equal the first stays, an empty key goes. In steps, so that keys are trimmed once."""
+    df = df.withColumn("_k", F.transform(F.map_keys(source), trim_header))
+    same = F.size(F.array_distinct("_k")) == F.size("_k")
+    pairs = F.arrays_zip(F.col("_k").alias("key"), F.map_values(source).alias("value"))
+    first = F.filter(pairs, lambda e, i: F.array_position(F.col("_k"), e["key"]) == i + 1)
+    return df.withColumn("_p", F.when(same, pairs).otherwise(first)).withColumn(out, F.map_filter(F.map_from_entries("_p"), lambda k, _: k != "")).drop("_k", "_p")
 
 
 def value_type(v: Column) -> Column:
@@ -66,7 +68,7 @@ def rescue(rows: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
     """``row_id``, ``_file``, ``_year``, the approved columns of ``target`` (name → type) and ``_rescued``: JSON of every
     further field that is not in ``target`` or does not cast to its type."""
     target = target or {}
-    base = rows.select("row_id", "_file", "_year", clean_map(F.col("_extra")).alias("_m"))
+    base = with_clean_map(rows.select("row_id", "_file", "_year", "_extra"), "_extra", "_m")
     cast = {f"_t{i}": cast_to(trim_space(F.try_element_at("_m", F.lit(c))), k) for i, (c, k) in enumerate(target.items())}
     base = base.withColumns(cast) if cast else base
     kept = F.col("_m")
@@ -130,7 +132,7 @@ def _stand_in(c: Column) -> Column:
 
 def steps(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Per compared file, column and token: share of the column's non-blank values now (``p_now``) and before (``p_before``)."""
-    prof = profile(rescue(rows))
+    prof = cut(profile(rescue(rows)))  # read twice below, computed once
     order = loaded_files(files)
     now = prof.join(order.where(F.col("before").isNotNull()).select("_file"), "_file").withColumn("side", F.lit(1))
     was = prof.join(order.where(F.col("after").isNotNull()).select("_file", "after"), "_file").drop("_file").withColumnRenamed("after", "_file").withColumn("side", F.lit(0))

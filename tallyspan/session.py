@@ -52,3 +52,10 @@ def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input of fewer splits than the cluster has cores, spread over them; a larger input is left as it is read.
+    For work in Python that costs far more than moving the rows once."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
