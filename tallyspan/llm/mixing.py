@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.session import broadcast_if_small, cut
+from tallyspan.session import broadcast_if_small, cut, spread
 
 VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,7 +53,7 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
             n = [count(t) if isinstance(t, str) else 0 for t in pdf.text]
             yield pd.DataFrame({"doc_id": pdf.doc_id, "source": pdf.source, "n_tokens": pd.array(n, dtype="int64")})
 
-    return documents.where("doc_id IS NOT NULL").select("doc_id", "source", "text").mapInPandas(run, "doc_id bigint, source string, n_tokens bigint")
+    return spread(documents.where("doc_id IS NOT NULL").select("doc_id", "source", "text")).mapInPandas(run, "doc_id bigint, source string, n_tokens bigint")
 
 
 def demands(sizes: DataFrame, targets: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tallyspan.session import spread
+
 OPEN = {"「": "」", "『": "』", "（": "）", "(": ")", "【": "】", "〈": "〉", "《": "》", "“": "”", "«": "»", "„": "“”", "｢": "｣", "[": "]", "［": "］", "〔": "〕", "‹": "›", "﹁": "﹂", "〝": "〟"}
 CLOSE = set("」』）)】〉》”»｣]］〕›﹂〟")
 QUOTES = set("「『“«„｢《‹﹁〝\"")
@@ -437,4 +439,4 @@ def split(documents: DataFrame) -> DataFrame:
                 ends += [b for _, b in got]
             yield pd.DataFrame({"doc_id": pd.array(docs, dtype="int64"), "start_pos": pd.array(starts, dtype="int32"), "end_pos": pd.array(ends, dtype="int32")})
 
-    return documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInPandas(run, "doc_id bigint, start_pos int, end_pos int")
+    return spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")).mapInPandas(run, "doc_id bigint, start_pos int, end_pos int")
