@@ -46,7 +46,7 @@ AFTER_ORDINAL = re.compile(r"(?:Januar|Jänner|Februar|März|April|Mai|Juni|Juli
 GOES_ON = re.compile(
     r"(?:と(?!ころ|ても|にかく|りわけ|き|も[にか])|って|は(?!じめ|い、|っき)|が(?![、，])|を|の(?!ち)|に(?!わか)|へ|で(?!は[、，]|も[、，]|す)|も(?!し|う|ちろん|っと)|や(?!は|が)|から|まで|より|など|だ(?!が|から)|です|なる|なん(?:て|か)|ほか|等|[、，､,]|・)"
 )
-EXCHANGE = re.compile(r"[^。｡．！？\n]{0,12}(?:問答|やり取り|やりとり|会話|応酬|言い合|口々|次々|掛け合)")
+EXCHANGE = re.compile(r"[^。｡．！？]{0,12}(?:問答|やり取り|やりとり|会話|応酬|言い合|口々|次々|掛け合)")
 SAYS_ZH = re.compile(r"[^，。！？；：“\n]{0,14}?(?:说道|说|道|问道|问|答道|答|喊道|喊|表示|写道|指出|回答)(?=[，。：！])")
 SAYS_KO = re.compile(r"(?:이?라고|이?라는|이?라며|하고|고|라는|는|은|을|를|이|가|와|과)(?![가-힣]{3})")
 
@@ -330,7 +330,7 @@ class _Wrapping:
         for k in joined:
             (a, b), (c, d) = lines[k], lines[k + 1]
             last, first = text[b - 1], text[c]
-            if ENDS_STOPPED.search(text, a, b) or LIST_MARK.match(text, c, d) or _thai(last):
+            if _stopped(text, a, b) or LIST_MARK.match(text, c, d) or _thai(last):
                 continue
             wide = bool(CJK.match(last) and CJK.match(first)) and not ("가" <= last <= "힣" and "가" <= first <= "힣")
             if _count(text[a:b]) > 1:
@@ -389,6 +389,22 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
+#: A line that begins like this goes on with the one before it, unless it begins a sentence with one of the usual words.
+GOES_ON_LINE = re.compile(r"(?!この|その|あの|どの|ここ|そこ|こう|そう|また|なお|ちなみに|しかし|そして|だが|もし|いま|お|ご|みな|まず|さら|つい|たぶん|やがて|すで|あ|いつ|かつ|ただ|つまり|なぜ|なんと|ほか|よく|わた|たとえ|むし|ところで|とき|とても|でも|では)[ぁ-んー]")
+WIDE_CLOSE = re.compile(r"[」』）】〉》｣］〕、，､。｡．！？％]")
+INITIAL = re.compile(r"(?:\A|\s)[A-Z]\.\Z")
+
+
+def _stopped(text: str, a: int, b: int) -> bool:
+    """The line ends with a stop that is not the period of an abbreviation or initial."""
+    if not ENDS_STOPPED.search(text, a, b):
+        return False
+    end = b
+    while text[end - 1].isspace():
+        end -= 1
+    return not (text[end - 1] == "." and (ABBREVIATIONS.look(text, end - 1, a) == "never" or INITIAL.search(text[max(a, end - 3) : end])))
+
+
 BREAKS = {"\n", "\r\n", "\r", "\u2028", "\x85", "\x0b", "\x0c"}
 
 
@@ -402,15 +418,19 @@ def _between(text: str, before: tuple[int, int], after: tuple[int, int], wrap: _
     marked, listed = bool(LIST_MARK.match(text, c, d)), bool(LIST_MARK.match(text, a, b))
     if wrap.exact and b - a == wrap.exact and not (marked and ENDS_STOPPED.search(text, a, b)):
         return "glued"
+    if WIDE_CLOSE.match(text, c, d):
+        return "glued"
     if text[b - 1] in ".．" and text[b - 2 : b - 1].isdigit() and text[c].isdigit() and not marked:
         return "glued"
     if marked:
         return "hard"
-    if ENDS_STOPPED.search(text, a, b):
+    if _stopped(text, a, b):
         if any(o < b <= e for o, e in _partners(text, a, d).items()):  # a quotation or bracket goes on in the next line
             return "glued" if CJK.match(text[c]) else "soft"
         low = text[c].islower() and text[c].isascii() and not text[c + 1 : c + 2].isupper() and ENDS_STOPPED.search(text, c, d) and b - a > 30
         return "soft" if not listed and (low or wrap.fills(text, a, b, c, d)) else "hard"
+    if not listed and b - a >= 20 and CJK.match(text[b - 1]) and GOES_ON_LINE.match(text, c, d) and _stopped(text, c, d):
+        return "glued"
     if CLOSES_FIRST.match(text, c, d) or not listed and HOLDS_BACK.search(text, a, b) and text[b - 1] not in ":：-–":
         return "soft"
     if _thai(text[b - 1]) and _thai(text[c]):
