@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 LEAST = 40
 GRAM = 8
 #: Documents of which more than this share leaks are dropped by ``cleaned`` as a whole.
 COVERAGE = 0.5
-#: More characters of items than this are not shipped to the workers: the list is meant to be a fixed, small one.
+#: More characters of items than this are not shipped to the workers at once.
 MOST_CHARS = 50_000_000
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
@@ -135,11 +136,18 @@ class SuffixAutomaton:
                     yield i + 1, n, texts.get(v, set())
 
 
-def _items(eval_items: DataFrame) -> dict[int, str]:
-    got = {r.item_id: normalize(r.text) for r in eval_items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").collect()}
-    if sum(map(len, got.values())) > MOST_CHARS:
-        raise ValueError(f"eval items hold more than {MOST_CHARS} characters; split them into several runs")
-    return got
+def _parts(eval_items: DataFrame, most: int) -> list[DataFrame]:
+    """The items, or hash parts of them if they hold more than ``most`` characters: each part is small enough to travel."""
+    rows = eval_items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    n = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // most)
+    return [rows] if n <= 1 else [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(2 * n)) == k) for k in range(2 * n)]
+
+
+def _items(eval_items: DataFrame, most: int = MOST_CHARS) -> dict[int, str]:
+    parts = _parts(eval_items, most)
+    if len(parts) > 1:
+        raise ValueError(f"eval items hold more than {most} characters; run this operator on parts of them")
+    return {r.item_id: normalize(r.text) for r in parts[0].collect()}
 
 
 _built: dict[int, SuffixAutomaton] = {}
@@ -154,10 +162,17 @@ def _automaton(items: dict[int, str]) -> SuffixAutomaton:
     return _built[key]
 
 
-def found(documents: DataFrame, eval_items: DataFrame) -> DataFrame:
-    """``doc_id``, ``item_id`` of every document that holds ``LEAST`` consecutive letters or digits of an item."""
-    items = _items(eval_items)
+def found(documents: DataFrame, eval_items: DataFrame, most: int = MOST_CHARS) -> DataFrame:
+    """``doc_id``, ``item_id`` of every document that holds ``LEAST`` consecutive letters or digits of an item. More than ``most``
+    characters of items are matched part by part, one pass over the documents for each."""
+    parts = [_found(documents, {r.item_id: normalize(r.text) for r in p.collect()}) for p in _parts(eval_items, most)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
 
+def _found(documents: DataFrame, items: dict[int, str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sam = _automaton(items)
         for pdf in batches:

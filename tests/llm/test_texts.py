@@ -46,6 +46,7 @@ def test_leaks_against_brute_force(spark):
     got = [tuple(r) for r in leakage.found(docs(spark, rows), ev).collect()]
     want = brute(items, texts | {902: (items[1] + "z") * 3000})
     assert set(got) == want and len(got) == len(want) and len(want) > 20
+    assert {tuple(r) for r in leakage.found(docs(spark, rows), ev, most=600).collect()} == want
     assert leakage.found(docs(spark, []), ev).count() == 0 and leakage.found(docs(spark, rows), ev.where("false")).count() == 0
 
 
