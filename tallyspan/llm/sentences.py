@@ -30,6 +30,10 @@ FIRM = set("。｡।॥۔")
 ASKING = set("！？!?؟")
 SPECIAL = re.compile(r"[。｡．.！？!?…‥।॥؟۔「『（(【〈《“«„｢\[［〔‹﹁〝\"]|(?<=[฀-๿])\s+(?=[฀-๿])|(?<=[฀-๿]\.)\s+(?=[฀-๿])")
 RUN = re.compile(r"[。｡．.！？!?…‥।॥؟۔]+(?:\s?[!?…]+(?=\s|\Z))?")
+LEADING = re.compile(r"(?<=[。｡！？।॥؟۔．])[…‥]+\Z")
+PAIRED = re.compile(r"[「」『』（）()【】〈〉《》“”«»„｢｣\[\]［］〔〕‹›﹁﹂〝〟\"]")
+SAYS_AFTER = re.compile(r"と(?:いう|言|聞|問|思|叫|書|答|話|呼|の)|って")
+WORD = re.compile(r"\S+")
 LIST_MARK = re.compile(r"\s*(?:[・‣•※■□●○◆◇▪▶►★☆◎→]|[-–—*+](?=\s)|[①-⑳❶-❿㈠-㈩]|\(\d{1,3}\)|（\d{1,3}）|（[一二三四五六七八九十]{1,3}）|\d{1,3}[.)](?=\s)|\d{1,3}[）、．](?![\d０-９])|[a-zA-Z]\)(?=\s)|[一二三四五六七八九十]{1,3}、|#{1,6}\s|【)")
 KANA = re.compile(r"[぀-ヿｦ-ﾟ]")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ가-힣]")
@@ -89,7 +93,7 @@ def _partners(text: str, a: int, b: int) -> dict[int, int]:
     out: dict[int, int] = {}
     stack: list[int] = []
     straight = None
-    for m in re.compile(r"[「」『』（）()【】〈〉《》“”«»„｢｣\[\]［］〔〕‹›﹁﹂〝〟\"]").finditer(text, a, b):
+    for m in PAIRED.finditer(text, a, b):
         i, ch = m.start(), m.group()
         if ch == '"':
             if straight is not None and straight in stack:
@@ -161,7 +165,10 @@ class _Block:
     def run_end(self, i: int) -> int:
         """End of the stops that begin at ``i``; an ellipsis that opens the next sentence is not one of them."""
         m = RUN.match(self.t, i, self.b)
-        lead = re.search(r"(?<=[。｡！？।॥؟۔．])[…‥]+\Z", m.group())
+        run = m.group()
+        if len(run) == 1 or run[-1] not in "…‥":
+            return m.end()
+        lead = LEADING.search(run)
         if lead and m.end() < self.b and self.t[m.end()].isalnum():
             return i + lead.start()
         return m.end()
@@ -195,7 +202,7 @@ class _Block:
                 return False
             if n.islower() and not _begins(t, k) or not spaced and n.isascii() and n.isalnum() and p.isascii() and not self.capital(k):
                 return False
-            if n in ",;:、，､" or (self.kana and not spaced and re.compile(r"と(?:いう|言|聞|問|思|叫|書|答|話|呼|の)|って").match(t, k)):
+            if n in ",;:、，､" or (self.kana and not spaced and SAYS_AFTER.match(t, k)):
                 return False
             return True
         if run == "．":
@@ -442,7 +449,7 @@ def _between(text: str, before: tuple[int, int], after: tuple[int, int], wrap: _
 
 def _greedy(text: str, a: int, b: int, c: int, d: int, width: int) -> bool:
     """The first word of the next line did not fit behind this line within ``width``."""
-    word = re.compile(r"\S+").search(text, c, d)
+    word = WORD.search(text, c, d)
     return (b - a) + 1 + (len(word.group()) if word else 0) > width > 0
 
 
