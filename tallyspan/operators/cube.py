@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyspan import dims
 from tallyspan.functions.places import city_code5
 from tallyspan.functions.text import fold_width
+from tallyspan.operators.matching import match
 from tallyspan.session import broadcast_if_small
 
 CODE, CATEGORY, HOUR, TOWN, DAY = "市区町村コード（発生地）", "手口", "発生時（始期）", "町丁目（発生地）", "発生年月日（始期）"
@@ -60,10 +61,10 @@ def multi_grain(fact: DataFrame) -> DataFrame:
 
 
 def area_cells(fact: DataFrame, areas: DataFrame) -> DataFrame:
-    """Dense area × layer cells: ``city``, ``area_id``, ``layer``, ``v``, ``pop``; incidents join by the area's name or key of their city."""
+    """Dense area × layer cells: ``city``, ``area_id``, ``layer``, ``v``, ``pop``; incidents are placed by ``matching.match`` (key, then parent)."""
     spark = fact.sparkSession
-    forms = areas.select(F.col("city_code").alias("city"), F.explode(F.array_distinct(F.array("name", "key"))).alias("town"), "area_id").where(F.col("town").isNotNull()).groupBy("city", "town").agg(F.min("area_id").alias("area_id"))
-    counts = fact.join(F.broadcast(dims.layers(spark)), "category").join(broadcast_if_small(forms), ["city", "town"]).groupBy("area_id", "layer").agg(F.count("*").alias("n"))
+    layered = fact.join(F.broadcast(dims.layers(spark)), "category").select("city", "town", "layer")
+    counts = match(layered, areas).where(F.col("area_id").isNotNull()).groupBy("area_id", "layer").agg(F.count("*").alias("n"))
     dense = areas.select(F.col("city_code").alias("city"), "area_id", F.col("jinko").alias("pop")).crossJoin(F.broadcast(dims.layers(spark).select("layer").distinct()))
     return dense.join(counts, ["area_id", "layer"], "left").select("city", "area_id", "layer", F.coalesce("n", F.lit(0)).alias("v"), "pop")
 

@@ -133,6 +133,17 @@ def test_counting_is_dense(spark):
         cube.refuse_parents(cube.multi_grain(f), ["a"])
 
 
+def test_area_cells_count_every_spelling(spark):
+    areas = [(1, "61201", "潮江1丁目", "潮江一丁目"), (2, "61201", "武庫ノ荘西", "武庫之荘西"), (3, "61201", "名神町", "名神町"), (4, "61201", "名神町1丁目", "名神町一丁目"), (5, "61202", "潮江1丁目", "潮江一丁目")]
+    towns = ["潮江１丁目", "潮江一丁目", "潮江1丁目", "潮江 01丁目", "潮江", "武庫の荘西", "武庫之荘西２丁目", "名神町３丁目", "名神町", "名神町一丁目", "無い町", " ", None]
+    rows = [(i, c, k, t) for i, (c, k, t) in enumerate((c, k, t) for c in ("612013", "61202", "x") for k in ("自転車盗", "自動車盗", "その他") for t in towns)]
+    df = spark.createDataFrame([(i, c, k, "8", t, 2024) for i, c, k, t in rows], f"row_id long, `{cube.CODE}` string, `{cube.CATEGORY}` string, `{cube.HOUR}` string, `{cube.TOWN}` string, _year int")
+    listed = spark.createDataFrame([(i, c, k, n, 100) for i, c, k, n in areas], "area_id long, city_code string, key string, name string, jinko long")
+    placed = {"61201": {1: 4, 2: 2, 3: 1, 4: 1}, "61202": {5: 4}}
+    want = {(c, a, layer): placed[c].get(a, 0) for a, c, _, _ in areas for layer in ("bicycle", "vehicle")}
+    assert {(r.city, r.area_id, r.layer): r.v for r in cube.area_cells(cube.incidents(df), listed).collect()} == want
+
+
 def test_audit_finds_leaks(spark):
     cells = spark.createDataFrame([("a", 1, None, "small", 500), ("a", 2, None, "small", 500), ("a", 3, 9, "shown", 500), ("b", 1, None, "withheld", 500), ("b", 2, None, "small", 500), ("c", 1, 4, "shown", 50), ("c", 2, 1, "shown", 0)], "g string, area_id long, published long, state string, pop long")
     s = spark.createDataFrame([("a", 11), ("b", 9), ("c", 5)], "g string, s long")
