@@ -4,7 +4,7 @@ Merging keeps the order of first appearance. Neighbours are found without compar
 cells its widened box touches, areas meet per cell, pairs are made unique and only then measured exactly.
 
 Defined results: records without name or of another kind than ``KEEP`` are skipped and counted; null populations count 0; a geometry that is
-null or not a (multi)polygon has no neighbours; a repeated record appears as a member again, as delivered.
+null or not a (multi)polygon has no neighbours; polygons are filed one by one, so parts far apart cost no more; a repeated record appears as a member again, as delivered.
 """
 
 from __future__ import annotations
@@ -49,11 +49,11 @@ def codes_in_order(records: DataFrame, key: str = "s_name") -> DataFrame:
     return first.groupBy("city_code", key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "key_code"))), lambda x: x["key_code"]).alias("codes"))
 
 
-def rings(wkb: bytes | None) -> list[list[tuple[float, float]]]:
-    """Rings of a WKB polygon or multipolygon."""
+def polygons(wkb: bytes | None) -> list[list[list[tuple[float, float]]]]:
+    """Polygons of a WKB polygon or multipolygon, each a list of rings, the outer one first."""
     if not wkb or len(wkb) < 9:
         return []
-    out: list[list[tuple[float, float]]] = []
+    out: list[list[list[tuple[float, float]]]] = []
 
     def read(at: int) -> int:
         e = "<" if wkb[at] == 1 else ">"
@@ -65,11 +65,14 @@ def rings(wkb: bytes | None) -> list[list[tuple[float, float]]]:
             return at
         if kind % 1000 != 3:
             raise ValueError(kind)
+        own = []
         for _ in range(n):
             (m,) = struct.unpack_from(e + "I", wkb, at)
             xy = struct.unpack_from(e + f"{2 * m}d", wkb, at + 4)
-            out.append(list(zip(xy[::2], xy[1::2])))
+            own.append(list(zip(xy[::2], xy[1::2])))
             at += 4 + 16 * m
+        if own and own[0]:
+            out.append(own)
         return at
 
     try:
@@ -79,13 +82,35 @@ def rings(wkb: bytes | None) -> list[list[tuple[float, float]]]:
     return out
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x0", "y0", "x1", "y1")]))
-def box(s: pd.Series) -> pd.DataFrame:
-    rows = []
-    for w in s:
-        pts = [p for r in rings(w) for p in r]
-        rows.append((min(p[0] for p in pts), min(p[1] for p in pts), max(p[0] for p in pts), max(p[1] for p in pts)) if pts else (None,) * 4)
-    return pd.DataFrame(rows, columns=["x0", "y0", "x1", "y1"])
+def rings(wkb: bytes | None) -> list[list[tuple[float, float]]]:
+    """Rings of a WKB polygon or multipolygon."""
+    return [r for p in polygons(wkb) for r in p]
+
+
+def combined(parts: list[bytes]) -> bytes | None:
+    """WKB multipolygon of every different polygon of ``parts``; null if there is none."""
+    own = []
+    for w in parts:
+        own += [p for p in polygons(w) if p not in own]
+    if not own:
+        return None
+    ring = lambda r: struct.pack("<I", len(r)) + struct.pack(f"<{2 * len(r)}d", *(x for p in r for x in p))
+    return struct.pack("<BII", 1, 6, len(own)) + b"".join(struct.pack("<BII", 1, 3, len(p)) + b"".join(map(ring, p)) for p in own)
+
+
+@F.pandas_udf(T.BinaryType())
+def multipolygon(s: pd.Series) -> pd.Series:
+    return s.map(lambda parts: combined([bytes(w) for w in parts]))
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x0", "y0", "x1", "y1")])))
+def boxes(s: pd.Series) -> pd.Series:
+    """Box of every polygon."""
+    def one(w):
+        xy = [list(zip(*p[0])) for p in polygons(w)]
+        return [{"x0": min(x), "y0": min(y), "x1": max(x), "y1": max(y)} for x, y in xy]
+
+    return s.map(one)
 
 
 def _apart(a, b, c, d) -> float:
@@ -112,13 +137,16 @@ def _inside(p, ring) -> bool:
 
 
 def gap(one: bytes, two: bytes) -> float:
-    """Distance of two polygons, 0 if they overlap."""
-    a, b = rings(one), rings(two)
+    """Distance of two (multi)polygons, 0 if they overlap."""
+    a, b = polygons(one), polygons(two)
     if not a or not b:
         return math.inf
-    if _inside(a[0][0], b[0]) or _inside(b[0][0], a[0]):
+    within = lambda p, poly: _inside(p, poly[0]) and not any(_inside(p, hole) for hole in poly[1:])
+    if any(within(p[0][0], q) or within(q[0][0], p) for p in a for q in b):
         return 0.0
-    return min(_apart(p, q, r, s) for ra in a for p, q in zip(ra, ra[1:]) for rb in b for r, s in zip(rb, rb[1:]))
+    sides = lambda polys: [side for p in polys for r in p for side in zip(r, r[1:])]
+    two_sides = sides(b)
+    return min((_apart(p, q, r, s) for p, q in sides(a) for r, s in two_sides), default=math.inf)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -151,21 +179,24 @@ def geojson_geometry(s: pd.Series) -> pd.Series:
     import json
 
     def one(w):
-        got = [simplify_ring(r) for r in rings(w)]
-        return json.dumps({"type": "MultiPolygon", "coordinates": [[[list(p) for p in r]] for r in got]}, separators=(",", ":")) if got else None
+        got = [[[list(p) for p in simplify_ring(r)] for r in polygon] for polygon in polygons(w)]
+        return json.dumps({"type": "MultiPolygon", "coordinates": got}, separators=(",", ":")) if got else None
 
     return s.map(one, na_action="ignore")
 
 
 def one_shape_per_area(records: DataFrame, name: str = "s_name") -> DataFrame:
-    """``city_code``, ``area``, ``geom_wkb``: the newest edition's first record of every name."""
-    rows = usable(records).where(F.col("geom_wkb").isNotNull())
-    return rows.groupBy("city_code", F.col(name).alias("area")).agg(F.min_by("geom_wkb", F.struct(-F.col("edition"), F.col("rec_no"))).alias("geom_wkb"))
+    """``city_code``, ``area`` (normalized key), ``geom_wkb``: a multipolygon of the area's parts, one for each code: the first record of the
+    newest edition that has the code. Records without a code count as one code more."""
+    rows = with_key(usable(records).where(F.col("geom_wkb").isNotNull()), name, "area")
+    parts = rows.groupBy("city_code", "area", "key_code").agg(F.min_by("geom_wkb", F.struct(-F.col("edition"), F.col("rec_no"))).alias("part"), F.min("rec_no").alias("at"))
+    listed = parts.groupBy("city_code", "area").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]).alias("parts"))
+    return listed.select("city_code", "area", multipolygon("parts").alias("geom_wkb"))
 
 
 def neighbours(shapes: DataFrame, touch: float = TOUCH, cell: float = CELL) -> DataFrame:
     """``city_code``, ``area``, ``neighbour`` of shapes (``city_code``, ``area``, ``geom_wkb``) at most ``touch`` apart, both directions."""
-    filed = shapes.withColumn("b", box("geom_wkb")).where(F.col("b.x0").isNotNull())
+    filed = shapes.withColumn("b", F.explode(boxes("geom_wkb")))
     span = lambda lo, hi: F.sequence(F.floor((F.col(lo) - touch) / cell), F.floor((F.col(hi) + touch) / cell))
     filed = filed.withColumn("cx", F.explode(span("b.x0", "b.x1"))).withColumn("cy", F.explode(span("b.y0", "b.y1")))
     a = filed.select("city_code", "cx", "cy", F.col("area").alias("area"), F.col("b").alias("ba"))

@@ -91,9 +91,13 @@ def names(s, d):
 
 
 def features(s, d):
-    shapes = boundary.one_shape_per_area(table(s, d, "boundary")).select("city_code", F.col("area").alias("name"), boundary.geojson_geometry("geom_wkb").alias("geometry"))
-    with_shape = names(s, d).join(shapes, ["city_code", "name"], "left").select("area_id", "code", "name", "city_code", "geometry")
-    return publish.features(suppressed(s, d), with_shape, neighbours(s, d))
+    areas = table(s, d, "areas")
+    shapes = boundary.one_shape_per_area(table(s, d, "boundary")).select("city_code", F.col("area").alias("key"), boundary.geojson_geometry("geom_wkb").alias("geometry"))
+    with_shape = names(s, d).join(areas.select("area_id", "key"), "area_id").join(shapes, ["city_code", "key"], "left").select("area_id", "code", "name", "city_code", "geometry")
+    near = neighbours(s, d)
+    for c in ("area", "neighbour"):  # keys to names as listed
+        near = near.join(areas.select("city_code", F.col("key").alias(c), F.col("name").alias("_n")), ["city_code", c], "left").withColumn(c, F.coalesce("_n", c)).drop("_n")
+    return publish.features(suppressed(s, d), with_shape, near)
 
 
 def audit_text(s, d):

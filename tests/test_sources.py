@@ -48,6 +48,23 @@ def test_neighbours_against_brute_force(spark):
     assert boundary.simplify_ring([(0, 0), (1, 1e-7), (2, 0), (2, 2), (0, 2), (0, 0)]) == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
 
 
+def test_shape_of_all_parts(spark):
+    rows = [
+        (1, "甲一丁目", "k1", 2015, square(50, 50)), (2, "甲一丁目", "k1", 2020, square(0, 0)), (3, "甲１丁目", "k2", 2020, square(10, 0)), (4, "甲1丁目", "k2", 2020, square(70, 70)), (5, "甲一丁目", "k3", 2015, square(20, 0)),
+        (6, "甲一丁目", None, 2020, square(0, 0)), (7, "乙", "k4", 2020, square(11, 0)), (8, "丙", "k5", 2020, square(21, 0)), (9, "丁", "k6", 2020, square(50, 51)), (10, "戊", "k7", 2020, b"xx"),
+    ]
+    df = spark.createDataFrame([("c", 8101, *r) for r in rows], "city_code string, hcode int, rec_no long, s_name string, key_code string, edition int, geom_wkb binary")
+    shapes = boundary.one_shape_per_area(df).cache()
+    parts = {r.area: [p[0][0] for p in boundary.polygons(r.geom_wkb and bytes(r.geom_wkb))] for r in shapes.collect()}
+    assert parts == {"甲1丁目": [(0, 0), (10, 0), (20, 0)], "乙": [(11, 0)], "丙": [(21, 0)], "丁": [(50, 51)], "戊": []}
+    assert {(r.area, r.neighbour) for r in boundary.neighbours(shapes, cell=0.5).collect()} == {("甲1丁目", "乙"), ("乙", "甲1丁目"), ("甲1丁目", "丙"), ("丙", "甲1丁目")}
+    shown = {r.area: r.g for r in shapes.select("area", boundary.geojson_geometry("geom_wkb").alias("g")).collect()}
+    assert [p[0][0] for p in json.loads(shown["甲1丁目"])["coordinates"]] == [[0, 0], [10, 0], [20, 0]] and shown["戊"] is None
+    ring = lambda x, y, s: struct.pack("<I", 5) + square(x, y, s)[13:]
+    holed = struct.pack("<BII", 1, 3, 2) + ring(0, 0, 9) + ring(1, 1, 7)
+    assert boundary.gap(holed, square(4, 4)) == 3 and boundary.gap(holed, square(0.2, 0.2, 0.5)) == 0
+
+
 def test_merge(spark):
     rows = [(1, "c", 8101, "西立花町二丁目", "k1", 487, 2), (2, "c", 8101, "西立花町２丁目", "k2", 1674, 3), (3, "c", 8154, "水面", None, 0, 0), (4, "c", 8101, None, "k", 1, 1), (5, "c", 8101, "東", None, None, None)]
     df = spark.createDataFrame(rows, "rec_no long, city_code string, hcode int, s_name string, key_code string, jinko long, setai long")
