@@ -43,9 +43,11 @@ def merge(records: DataFrame, key: str | None = None) -> DataFrame:
     return g
 
 
-def codes_in_order(records: DataFrame, key: str = "s_name") -> DataFrame:
-    """Distinct codes of each name in the order of first appearance: a bounded list per area, of distinct codes only."""
-    first = usable(records).where(F.col("key_code").isNotNull()).groupBy("city_code", key, "key_code").agg(F.min("rec_no").alias("at"))
+def codes_in_order(records: DataFrame, key: str | None = None) -> DataFrame:
+    """Distinct codes of each key (or other column) in the order of first appearance: a bounded list per area, of distinct codes only."""
+    rows = usable(records).where(F.col("key_code").isNotNull())
+    rows, key = (rows, key) if key else (with_key(rows, "s_name"), "key")
+    first = rows.groupBy("city_code", key, "key_code").agg(F.min("rec_no").alias("at"))
     return first.groupBy("city_code", key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "key_code"))), lambda x: x["key_code"]).alias("codes"))
 
 

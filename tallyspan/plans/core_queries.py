@@ -39,7 +39,7 @@ def parents(s, d):
 
 
 def keyed(s, d):
-    return table(s, d, "area_counts").select("count_id", F.col("city_code").alias("city"), F.col("key").alias("town"), F.coalesce("key", F.lit("")).alias("key"), F.lit(2024).alias("year"))
+    return places.with_key(table(s, d, "area_counts").select("count_id", F.col("city_code").alias("city"), F.col("key").alias("town"), F.lit(2024).alias("year")), "town")
 
 
 def decided(s, d):
@@ -142,7 +142,7 @@ QUERIES = {
     "chome_parent": lambda s, d: table(s, d, "areas").select("area_id", places.parent_key(F.col("key")).alias("parent")),
     "city_code5": lambda s, d: table(s, d, "incidents").select("row_id", places.city_code5(F.col(cube.CODE)).alias("code5")),
     "longest_prefix": longest_prefix,
-    "merge_same_name": lambda s, d: boundary.merge(table(s, d, "boundary"), "s_name"),
+    "merge_same_name": lambda s, d: boundary.merge(table(s, d, "boundary")),
     "codes_in_order": lambda s, d: boundary.codes_in_order(table(s, d, "boundary")),
     "skipped_records": lambda s, d: boundary.skipped(table(s, d, "boundary")),
     "neighbors_eps": neighbours,

@@ -118,6 +118,22 @@ def test_matching_decisions(spark):
     assert {r.box: r.n for r in matching.not_counted(m).collect()} == {"unresolved": 0, "unobserved": 4, "undecided": 2, "gone": 0}
 
 
+def test_registered_queries_normalize_names(spark, tmp_path):
+    from tallyspan.plans.core_queries import QUERIES
+
+    boundary = [(3, "c", 8101, "甲１丁目", "k2", 5, 1), (1, "c", 8101, "甲一丁目", "k1", 7, 2), (2, "c", 8101, "甲1丁目", "k1", 7, 2), (4, "c", 8101, "乙", None, 1, 1)]
+    counts = [(1, "c", "甲１丁目"), (2, "c", "乙の二丁目"), (3, "c", "丙"), (4, "c", None)]
+    areas = [(1, "c", "甲1丁目"), (2, "c", "乙ノ")]
+    for name, rows, schema in (("boundary", boundary, "rec_no long, city_code string, hcode int, s_name string, key_code string, jinko long, setai long"), ("area_counts", counts, "count_id long, city_code string, key string"), ("areas", areas, "area_id long, city_code string, key string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    run = lambda q: QUERIES[q](spark, str(tmp_path)).collect()
+    assert {r.key: (r.name, r.code, r.jinko, r.setai, r.n_records) for r in run("merge_same_name")} == {"甲1丁目": ("甲一丁目", "k1", 19, 5, 3), "乙": ("乙", None, 1, 1, 1)}
+    assert [(r.key, r.codes) for r in run("codes_in_order")] == [("甲1丁目", ["k1", "k2"])]
+    assert {r.count_id: r.area_id for r in run("decision_table_match")} == {1: 1, 2: 2, 3: None, 4: None}
+    assert {r.count_id for r in run("rejects")} == {3, 4}
+    assert [(r.n_rows, r.n_matched) for r in run("match_rate")] == [(4, 2)]
+
+
 def test_counting_is_dense(spark):
     rows = [(1, "612013", "自転車盗", "8", 2024), (2, "61201", "その他", "２３", 2024), (3, "61201", None, "99", 2023), (4, "x", "自転車盗", "", 2024), (5, "61202", "自動車盗", None, 2010)]
     df = spark.createDataFrame([(i, c, k, h, "甲", y) for i, c, k, h, y in rows], f"row_id long, `{cube.CODE}` string, `{cube.CATEGORY}` string, `{cube.HOUR}` string, `{cube.TOWN}` string, _year int")
