@@ -266,7 +266,7 @@ class City:
                 words = [(0, word)]
             else:
                 tree = self.trees.get(kind)
-                near = tree.near(word, 2 - slip) if tree and 1 < len(word) <= 64 else []
+                near = tree.near(word, 2 - slip) if tree and len(word) <= 64 else []
                 words = [(d, w) for d, w in near if d <= (1 if max(len(word), len(w)) < short else 2) - slip]
             for d, w in words:
                 by_block = self.areas[kind, w]

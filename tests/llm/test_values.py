@@ -42,6 +42,15 @@ def test_entries(spark):
     assert canonical.map_values(entries(spark, []), areas).count() == 0
 
 
+def test_names_of_one_character_left(spark):
+    row = lambda i, city, name: (i, city, "甲市", "丙県", None, name, None, None, "x")
+    areas = spark.createDataFrame([row(1, "11111", "鷺野七丁目"), row(2, "11111", "鞍宮"), row(3, "22222", "鞍宮"), row(4, "22222", "宮野"), row(5, "22222", "鷺野町")], AREA)
+    rows = [(1, "11111", "鷺七丁目"), (2, "11111", "宮"), (3, "11111", "鷺八丁目"), (4, "22222", "宮"), (5, "22222", "鷺")]
+    for shards in ({}, {"most_entries": 1}):
+        got = {r.entry_id: r.area_id for r in canonical.map_values(entries(spark, rows), areas, **shards).collect()}
+        assert got == {1: 1, 2: 2, 3: 0, 4: 0, 5: 0}
+
+
 def test_distance_is_a_metric_and_tree_is_complete():
     rnd = random.Random(2)
     words = ["".join(rnd.choice("abc") for _ in range(rnd.randint(0, 6))) for _ in range(120)]
