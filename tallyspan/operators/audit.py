@@ -94,8 +94,9 @@ def text_parents(texts: DataFrame, text: str, parents: DataFrame) -> DataFrame:
     wide = parents.withColumn("n", F.explode(F.sequence(F.col("shown") + F.col("k"), F.col("shown") + 2 * F.col("k"))))
     toks = lines(texts, text).withColumn("n", F.explode(F.array_distinct(number_tokens(F.col("line")))))
     hits = toks.join(wide, "n").where(F.contains(F.col("line"), F.col("clue")))
-    ways = choose(F.col("k"), F.col("n") - F.col("shown") - F.col("k"))
-    return hits.withColumn("ways", ways).withColumn("verdict", F.when(F.col("ways") == 1, "unique").when(F.col("ways") < F.pow(F.lit(2.0), F.col("k")), "narrowed")).where(F.col("verdict").isNotNull()).drop("line")
+    m = F.col("n") - F.col("shown") - F.col("k")
+    verdict = F.when((m == 0) | (m == F.col("k")), "unique").otherwise("narrowed")  # C(k, m) < 2**k for every 0 < m < k
+    return hits.withColumn("ways", choose(F.col("k"), m)).withColumn("verdict", verdict).drop("line")
 
 
 def duplicates(df: DataFrame, key: list[str]) -> DataFrame:

@@ -173,6 +173,13 @@ def test_audit_finds_leaks(spark):
     assert column(spark, [(5, 2), (40, 20), (3, 4), (3, 0)], "n long, k long", audit.choose(F.col("n"), F.col("k"))) == [10, 137846528820, 0, 1]
 
 
+def test_audit_of_texts_over_many_hidden_cells(spark):
+    texts = spark.createDataFrame([(n, f"桜 {n}") for n in (139, 140, 141, 210, 279, 280, 281)], "id long, text string")
+    parents = spark.createDataFrame([("桜", 0, 140)], "clue string, shown long, k long")
+    got = {r.id: r.verdict for r in audit.text_parents(texts, "text", parents).collect()}
+    assert got == {140: "unique", 141: "narrowed", 210: "narrowed", 279: "narrowed", 280: "unique"}
+
+
 def test_party_and_redaction(spark):
     names = {"山田太郎": "individual", "大阪市": "corp", "国": "corp", "オークワ　ほか": "corp", "F.O.B COOP": "corp", "大阪市北区角田町３番25号": "individual", "カタカナ商事": "individual", "三井住友ファイナンス": "individual", None: "individual", "": "individual"}
     assert {r[0]: r[1] for r in spark.createDataFrame([(n,) for n in names], "n string").select("n", party.party_kind(F.col("n"))).collect()} == names
