@@ -116,11 +116,9 @@ def normalize_addresses(df: DataFrame, codes: DataFrame, towns: DataFrame, code:
     )
 
 
-#: No listed name is longer; bounds the prefixes a row is exploded into.
-LONGEST_NAME = 40
-
-
 def longest_prefix(rows: DataFrame, towns: DataFrame) -> DataFrame:
-    """``_id``, ``town``: the longest town of the row's city that its ``text`` begins with."""
-    prefixes = rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("text"), F.lit(LONGEST_NAME)), F.lit(1))))).select("_id", "city_code", F.expr("left(text, n)").alias("town"))
-    return prefixes.join(towns.select("city_code", "town").distinct(), ["city_code", "town"]).groupBy("_id").agg(F.max_by("town", F.length("town")).alias("town"))
+    """``_id``, ``town``: the longest town of the row's city that its ``text`` begins with. The longest listed name bounds the prefixes of a row."""
+    listed = towns.select("city_code", "town").distinct()
+    bounded = rows.crossJoin(F.broadcast(towns.agg(F.coalesce(F.max(F.length("town")), F.lit(1)).alias("_most"))))
+    prefixes = bounded.withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("text"), F.col("_most")), F.lit(1))))).select("_id", "city_code", F.expr("left(text, n)").alias("town"))
+    return prefixes.join(listed, ["city_code", "town"]).groupBy("_id").agg(F.max_by("town", F.length("town")).alias("town"))

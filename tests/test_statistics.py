@@ -109,6 +109,13 @@ def test_addresses(spark):
     assert got["西宮市甲子園8番町"][3] == "28204|甲子園8番町" and got["無い市知らない町3-5"][1:] == ("unknown", "", "") and got[""][0] == ""
 
 
+def test_longest_prefix_of_any_length(spark):
+    rows = spark.createDataFrame([(1, "c", "甲" * 60 + "乙"), (2, "c", "甲" * 59), (3, "d", "甲" * 60), (4, "c", ""), (5, "c", None)], "_id long, city_code string, text string")
+    towns = spark.createDataFrame([("c", "甲" * 60), ("c", "甲甲"), ("c", None)], "city_code string, town string")
+    assert {r._id: r.town for r in places.longest_prefix(rows, towns).collect()} == {1: "甲" * 60, 2: "甲甲"}
+    assert places.longest_prefix(rows, towns.where("false")).count() == 0
+
+
 def test_matching_decisions(spark):
     areas = spark.createDataFrame([(1, "c", "武庫ノ荘西"), (2, "c", "名神町"), (3, "c", "名神町1丁目"), (4, "c", "潮江1丁目"), (5, "d", "潮江2丁目")], "area_id long, city_code string, key string")
     rows = [(1, "c", "潮江１丁目"), (2, "c", "武庫之荘西2丁目"), (3, "c", "名神町3丁目"), (4, "c", "潮江"), (5, "c", "潮江2丁目"), (6, "c", " "), (7, "c", None), (8, None, "潮江1丁目")]
