@@ -1,7 +1,7 @@
 """Place names and addresses: keys that spellings of one place share.
 
-``nfkc`` and ``kanji_digits`` are the two steps Spark has no expression for; they are Arrow-batched and are meant for distinct
-names (``with_key`` sees to that). Everything else stays in the JVM. Nulls give '' as a key, as blank names do.
+``nfkc`` and ``kanji_digits`` are the two steps Spark has no expression for; they are Arrow-batched, see each distinct name of a batch once and
+move no other column, so that no row is shuffled for its key. Everything else stays in the JVM. Nulls give '' as a key, as blank names do.
 """
 
 from __future__ import annotations
@@ -30,9 +30,14 @@ def read_number(s: str, unknown_ones: int | None = None) -> int | None:
     return None if low is None else high * 10 + low
 
 
+def once_each(s: pd.Series, fn) -> pd.Series:
+    """``fn`` of every value, worked out once per distinct value; nulls stay."""
+    return s.map({x: fn(x) for x in s.dropna().unique()})
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
+    return once_each(s, lambda x: unicodedata.normalize("NFKC", x))
 
 
 def digits_of(s: str) -> str:
@@ -42,24 +47,25 @@ def digits_of(s: str) -> str:
 
 @F.pandas_udf(T.StringType())
 def kanji_digits(s: pd.Series) -> pd.Series:
-    return s.map(digits_of, na_action="ignore")
-
-
-#: Kanji numbers one to ninety-nine → digits, for the JVM.
-NUMBERS = {k: n for n in range(1, 100) for k in {(DIGITS[n // 10] if n >= 20 else "") + ("十" if n >= 10 else "") + (DIGITS[n % 10] if n % 10 else "")}} | {"〇": 0, "一十": 10} | {f"一十{DIGITS[d]}": 10 + d for d in range(1, 10)}
+    return once_each(s, digits_of)
 
 
-def _number(c: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for k, n in NUMBERS.items() for x in (k, str(n))])
-    return F.try_element_at(table, c)
+def _number(run: Column) -> Column:
+    """``read_number`` of a run of kanji digits and tens, for the JVM."""
+    digit = lambda c: F.when(F.length(c) == 1, F.nullif(F.instr(F.lit(DIGITS), c), F.lit(0)) - 1)
+    ten = F.instr(run, "十")
+    tens, ones = F.substring(run, F.lit(1), ten - 1), F.substring(run, ten + 1, F.length(run))
+    low = F.when(ones == "", F.lit(0)).otherwise(digit(ones))
+    return F.when(ten == 0, digit(run)).otherwise(F.coalesce(digit(tens), F.lit(1)) * 10 + low)
 
 
 def key_of(folded: Column) -> Column:
     """Key of a name that is already in NFKC: one kana for its variants, no blanks, Arabic block number without leading zeros."""
     s = F.translate(F.trim(folded), "ヶヵ之のッ　 ", "ケケノノツ")
-    kanji = F.regexp_extract(s, f"([{DIGITS}十]+)丁目$", 1)
-    s = F.when((kanji != "") & _number(kanji).isNotNull(), F.concat(F.regexp_replace(s, f"[{DIGITS}十]+丁目$", ""), _number(kanji), F.lit("丁目"))).otherwise(s)
-    return F.coalesce(F.regexp_replace(s, r"(?<!\d)0+(?=\d+丁目$)", ""), F.lit(""))
+    kanji = F.regexp_extract(s, rf"([{DIGITS}十]+)丁目\z", 1)
+    n = _number(kanji)
+    s = F.when((kanji != "") & n.isNotNull(), F.concat(F.regexp_replace(s, rf"[{DIGITS}十]+丁目\z", ""), n.cast("string"), F.lit("丁目"))).otherwise(s)
+    return F.coalesce(F.regexp_replace(s, r"(?<!\d)0+(?=\d+丁目\z)", ""), F.lit(""))
 
 
 def place_key(name: Column) -> Column:
@@ -68,7 +74,7 @@ def place_key(name: Column) -> Column:
 
 def parent_key(key: Column) -> Column:
     """Key without its block number, null if it has none."""
-    return F.nullif(F.regexp_extract(key, r"^(.+?)\d+丁目$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(key, r"(?s)\A(.+?)\d+丁目\z", 1), F.lit(""))
 
 
 def city_code5(code: Column) -> Column:
@@ -78,9 +84,8 @@ def city_code5(code: Column) -> Column:
 
 
 def with_key(df: DataFrame, name: str, out: str = "key") -> DataFrame:
-    """``df`` with the key of column ``name``: each distinct name is normalized once and joined back."""
-    names = df.select(F.col(name).alias("_name")).where(F.col(name).isNotNull()).distinct().withColumn("_key", place_key(F.col("_name")))
-    return df.join(names, df[name] == names["_name"], "left").withColumn(out, F.coalesce("_key", F.lit(""))).drop("_name", "_key")
+    """``df`` with the key of column ``name``."""
+    return df.withColumn(out, place_key(F.col(f"`{name}`")))
 
 
 MARKER = r"(丁目|番地|番|号)(?=\d|$)"

@@ -14,24 +14,36 @@ def _layer_name(c: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in dims.LAYER_NAMES.items() for x in kv]), c)
 
 
-def area_records(cells: DataFrame, areas: DataFrame, site: str, base_url: str, source_url: str, fetched_on: str, first: int, last: int) -> DataFrame:
-    """One record per area and layer from suppressed cells (``city``, ``area_id``, ``layer``, ``published``, ``state``, ``pop``)."""
+def run_date(day: str) -> str:
+    """The date a run is told to carry; anything but an ISO date is refused."""
+    import datetime
+
+    return datetime.date.fromisoformat(day).isoformat()
+
+
+def period_label(first: Column, last: Column) -> Column:
+    return F.concat(first.cast("string"), F.lit("-"), last.cast("string"))
+
+
+def area_records(cells: DataFrame, areas: DataFrame, site: str, base_url: str, source_url: str, fetched_on: Column, first: Column, last: Column) -> DataFrame:
+    """One record per area and layer from suppressed cells (``city``, ``area_id``, ``layer``, ``published``, ``state``, ``pop``); ``first`` and ``last``
+    are the years of the window, ``fetched_on`` the date of the newest source."""
     a = areas.select("area_id", "city_name", "pref", "name", "key", F.element_at("key_codes", 1).alias("code"))
     j = cells.join(a, "area_id")
-    period = f"{first}-{last}"
+    period = period_label(first, last)
     name = _layer_name(F.col("layer"))
     rate = sdc.rate_per_1k(F.col("published"), F.col("pop"))
     out = j.select(
         F.concat_ws(":", F.lit(site), "city", "code", "layer").alias("id"),
-        F.concat("name", F.lit("（"), "city_name", F.lit(f"）{period}年の"), name, F.lit("の窃盗認知件数")).alias("title"),
-        F.concat(F.lit("犯罪統計/"), name).alias("kind"), F.lit(f"{last}-12-31").alias("date"), F.lit(period).alias("period"), "pref", F.col("city_name").alias("city"), F.col("city").alias("city_code"),
+        F.concat("name", F.lit("（"), "city_name", F.lit("）"), period, F.lit("年の"), name, F.lit("の窃盗認知件数")).alias("title"),
+        F.concat(F.lit("犯罪統計/"), name).alias("kind"), F.concat(last.cast("string"), F.lit("-12-31")).alias("date"), period.alias("period"), "pref", F.col("city_name").alias("city"), F.col("city").alias("city_code"),
         F.concat("city_name", "name").alias("addr"), F.concat(F.col("city"), F.lit("|"), "key").alias("addr_key"), F.concat(F.col("city"), F.lit("|"), F.regexp_replace("key", "丁目$", "")).alias("addr_key_town"),
-        F.lit("").alias("party"), F.lit("none").alias("party_kind"), F.concat(F.lit(f"{base_url}/cho/"), "code", F.lit(".html")).alias("url"), F.lit(source_url).alias("source_url"), F.lit(fetched_on).alias("fetched_on"),
+        F.lit("").alias("party"), F.lit("none").alias("party_kind"), F.concat(F.lit(f"{base_url}/cho/"), "code", F.lit(".html")).alias("url"), F.lit(source_url).alias("source_url"), fetched_on.cast("string").alias("fetched_on"),
         F.col("pop").alias("population"), F.col("published").alias("count"),
         F.when(F.col("state") == "withheld", sdc.WITHHELD_LABEL).otherwise(sdc.label_for(F.col("published"))).alias("count_label"),
         rate.alias("rate_per_1k"), rate.isNull().alias("rate_suppressed"),
     )
-    return refuse_parents(out, ["area"])
+    return refuse_parents(out, ["area"], ["id"])
 
 
 def city_cells(cells: DataFrame, cities: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from tallyspan.functions import party, places, sdc, web
 from tallyspan.functions.text import FULL_WIDTH, HALF_WIDTH, is_blank
 from tallyspan.operators import audit, boundary, cube, matching, observe, publish
 from tallyspan.operators.suppress import complement_sql, suppress
+from tallyspan.plans.sql_text import keys_sql, parent_sql
 from tallyspan.session import table
 
 SITE, BASE, SOURCE = "example-site", "https://stats.example", "https://open.example/data"
@@ -18,8 +19,16 @@ def fact(s, d):
     return cube.incidents(table(s, d, "incidents"))
 
 
+def areas(s, d):
+    return table(s, d, "areas")
+
+
+def cells(s, d):
+    return cube.matched(fact(s, d), areas(s, d))
+
+
 def area_cells(s, d):
-    return cube.area_cells(fact(s, d), table(s, d, "areas"))
+    return cube.area_cells(fact(s, d), areas(s, d))
 
 
 def suppressed(s, d):
@@ -27,15 +36,36 @@ def suppressed(s, d):
 
 
 def year_cells(s, d):
-    return cube.city_cells(fact(s, d)).withColumnRenamed("n", "v")
+    return cube.city_cells(fact(s, d), areas(s, d)).withColumnRenamed("n", "v")
 
 
 def city_pop(s, d):
-    return table(s, d, "areas").groupBy("city_code").agg(F.min("city_name").alias("city_name"), F.sum("jinko").alias("pop"))
+    return areas(s, d).groupBy("city_code").agg(F.min("city_name").alias("city_name"), F.sum("jinko").alias("pop"))
+
+
+def city_records(s, d):
+    return publish.city_cells(cube.city_cells(fact(s, d), areas(s, d)), city_pop(s, d))
+
+
+def editions(s, d):
+    return audit.editions(suppressed(s, d))
 
 
 def parents(s, d):
-    return area_cells(s, d).groupBy("city", "layer").agg(F.sum("v").alias("s"))
+    """Parents a reader has of each edition: the sums themselves of the drafts, what the published city cells add up to of the final one."""
+    cities = city_records(s, d).select(F.col("city_code").alias("city"), F.regexp_replace("kind", "^犯罪統計/", "").alias("category"), "count")
+    final = audit.published_parents(cities, dims.layers(s)).select(F.lit("final").alias("edition"), "city", "layer", "s")
+    drafts = area_cells(s, d).groupBy("city", "layer").agg(F.sum("v").alias("s")).withColumn("edition", F.explode(F.array(F.lit("raw"), F.lit("primary"))))
+    return final.unionByName(drafts)
+
+
+GROUP = ["edition", "city", "layer"]
+
+
+def area_records(s, d):
+    last = cube.last_year(fact(s, d))
+    newest = table(s, d, "feed_files").where("stage = 'loaded'").agg(F.max("delivered_at").cast("date")).scalar()
+    return publish.area_records(suppressed(s, d), areas(s, d), SITE, BASE, SOURCE, newest, last - (dims.WINDOW_YEARS - 1), last)
 
 
 def keyed(s, d):
@@ -48,6 +78,17 @@ def decided(s, d):
 
 def rates(s, d):
     hidden = suppressed(s, d).groupBy("city", "layer").agg(F.sum("v").alias("total"), F.count_if(F.col("state") != "shown").alias("hidden"))
+    return rates_of(s, d, hidden)
+
+
+def fine_rates(s, d):
+    """Rates of a draft that rounds every city alike, to two digits."""
+    hidden = suppressed(s, d).groupBy("city", "layer").agg(F.sum("v").alias("total"), F.count_if(F.col("state") != "shown").alias("hidden"))
+    pop = city_pop(s, d).where("pop > 0").select(F.col("city_code").alias("city"), "pop")
+    return hidden.join(pop, "city").select("city", "layer", "pop", "hidden", F.floor((F.col("total") * 200000 + F.col("pop")) / (2 * F.col("pop"))).cast("bigint").alias("value"), F.lit(2).alias("scale"))
+
+
+def rates_of(s, d, hidden):
     j = hidden.join(city_pop(s, d), F.col("city") == F.col("city_code")).withColumn("r", sdc.city_rate(F.col("total"), F.col("pop"), F.col("hidden")))
     return j.select("city", "layer", "pop", "hidden", F.col("r.value").alias("value"), F.col("r.scale").alias("scale"))
 
@@ -101,16 +142,24 @@ def features(s, d):
 
 
 def audit_text(s, d):
-    clues = s.createDataFrame([("桜", 2000, 12), ("駐輪場", 300, 40), ("鍵", 100, 1), ("report", 2010, 8)], "clue string, shown bigint, k bigint")
-    return audit.text_parents(table(s, d, "documents").select("doc_id", "text"), "text", clues).select("doc_id", "line_no", "clue", "n", "verdict")
+    """Numbers in the documents that fit a hidden town total: a town's cells over its blocks and layers, hidden ones all small."""
+    towns = areas(s, d).select("area_id", F.coalesce(places.parent_key(F.col("key")), F.col("key")).alias("clue"))
+    own = suppressed(s, d).join(towns, "area_id")
+    clues = audit.text_clues(own.withColumn("city", F.concat_ws("|", "city", "clue")), own.select(F.concat_ws("|", "city", "clue").alias("city"), "clue").distinct(), ["city"])
+    return audit.text_parents(table(s, d, "documents").select("doc_id", "text"), "text", clues).select("doc_id", "line_no", "city", "clue", "n", "k", "verdict")
+
+
+def pages(s, d):
+    return publish.pages(suppressed(s, d), names(s, d))
 
 
 QUERIES = {
-    "cell_counts": lambda s, d: cube.cell_counts(fact(s, d)),
-    "hour_bands": lambda s, d: cube.hour_counts(fact(s, d)),
-    "layer_sums": lambda s, d: cube.layer_counts(fact(s, d)),
+    "cell_counts": lambda s, d: cube.cell_counts(cells(s, d), ["city", "area_id", "year"]),
+    "band_counts": lambda s, d: cube.band_counts(cells(s, d)),
+    "hour_bands": lambda s, d: cube.hour_counts(cells(s, d), areas(s, d)),
+    "layer_sums": lambda s, d: cube.layer_counts(cube.matched(cube.in_window(fact(s, d)), areas(s, d), ("category",)), areas(s, d)),
     "city_only": lambda s, d: cube.outside_layers(fact(s, d)),
-    "multi_grain": lambda s, d: cube.multi_grain(fact(s, d)),
+    "multi_grain": lambda s, d: cube.multi_grain(cube.matched(fact(s, d), areas(s, d), ("year", "category"))),
     "latest_period_window": lambda s, d: cube.in_window(fact(s, d), 3).groupBy("year").agg(F.count("*").alias("n")),
     "area_cells": area_cells,
     "city_year_cells": year_cells,
@@ -119,20 +168,24 @@ QUERIES = {
     "rate_rules": lambda s, d: area_cells(s, d).select("area_id", "layer", sdc.suppress_rate(F.col("v"), F.col("pop")).alias("suppressed"), sdc.rate_reason(F.col("v"), F.col("pop")).alias("reason"), sdc.rate_hundredths(F.col("v"), F.col("pop")).alias("hundredths")),
     "complement_suppress": lambda s, d: suppress(year_cells(s, d), ["city", "category"], "v", ["year"]),
     "complement_suppress_pop": suppressed,
-    "label_unify_check": lambda s, d: audit.label_mix(suppressed(s, d), ["city", "layer"]),
+    "label_unify_check": lambda s, d: audit.label_mix(editions(s, d), GROUP),
     "city_rate": rates,
     "bar_scale": lambda s, d: suppressed(s, d).groupBy("city", "layer").agg(F.max("published").alias("top")).select("city", "layer", sdc.nice_ceiling(F.col("top")).alias("scale")),
     "class_breaks": lambda s, d: suppressed(s, d).groupBy("layer", sdc.class_of(F.col("published"), sdc.CLASS_TOTAL).alias("class")).agg(F.count("*").alias("n")),
     "displayed_total": lambda s, d: publish.displayed_total(suppressed(s, d), ["city", "area_id"]),
     "suppression_report": lambda s, d: publish.suppression_report(suppressed(s, d)),
-    "audit_raw": lambda s, d: audit.raw_small(suppressed(s, d)).select("area_id", "layer", "published"),
-    "audit_population_line": lambda s, d: audit.population_line(suppressed(s, d)).groupBy("verdict").agg(F.count("*").alias("n")),
-    "audit_margin": lambda s, d: audit.margins(suppressed(s, d), parents(s, d), ["city", "layer"]).select("city", "layer", "s", "shown", "k", "m", "verdict"),
-    "audit_interval": lambda s, d: audit.intervals(suppressed(s, d), parents(s, d), ["city", "layer"]).where("state <> 'shown'").select("area_id", "layer", "new_lo", "new_hi", "solved"),
-    "audit_rate_precision": lambda s, d: audit.rate_too_fine(rates(s, d)),
-    "audit_checks": lambda s, d: audit.checks(suppressed(s, d), ["city", "layer"]),
+    "audit_raw": lambda s, d: audit.raw_small(editions(s, d)).select("edition", "area_id", "layer", "published"),
+    "audit_population_line": lambda s, d: audit.population_line(editions(s, d)).groupBy("edition", "verdict").agg(F.count("*").alias("n")),
+    "audit_margin": lambda s, d: audit.margins(editions(s, d), parents(s, d), GROUP).select(*GROUP, "s", "shown", "k", "m", "verdict"),
+    "audit_interval": lambda s, d: audit.intervals(editions(s, d), parents(s, d), GROUP).where("state <> 'shown'").select("edition", "area_id", "layer", "new_lo", "new_hi", "solved", "route"),
+    "audit_recovered": lambda s, d: audit.recovered(audit.intervals(editions(s, d), parents(s, d), GROUP), ["edition", "layer"]),
+    "audit_parents_missing": lambda s, d: audit.missing_parents(editions(s, d), GROUP, parents(s, d).where("s IS NOT NULL")),
+    "audit_bars": lambda s, d: audit.bar_leaks(pages(s, d)).groupBy("label").agg(F.count("*").alias("n_rows"), F.count_if("leaks").alias("n_leaks")),
+    "audit_breaks": lambda s, d: audit.class_break_findings(s, total=sdc.CLASS_TOTAL, draft=[1, 2, 6, 12]),
+    "audit_rate_precision": lambda s, d: audit.rate_too_fine(fine_rates(s, d)),
+    "audit_checks": lambda s, d: audit.checks(editions(s, d), GROUP),
     "audit_text_parents": audit_text,
-    "match_rows": lambda s, d: matching.match(fact(s, d), table(s, d, "areas")).select("row_id", "city", "key", "area_id", "reason", "box"),
+    "match_rows": lambda s, d: matching.match(fact(s, d), areas(s, d)).select("row_id", "city", "key", "area_id", "reason", "box"),
     "decision_table_match": lambda s, d: decided(s, d).select("count_id", "area_id", "reason", "box"),
     "not_counted": lambda s, d: matching.not_counted(decided(s, d)),
     "match_reasons": lambda s, d: matching.reasons(decided(s, d)),
@@ -165,14 +218,14 @@ QUERIES = {
     "party_kind": lambda s, d: table(s, d, "supplier").select(F.col("s_name").alias("name")).unionByName(s.createDataFrame([(n,) for n in NAMES], "name string")).distinct().select("name", party.party_kind(F.col("name")).alias("kind")),
     "redact_addr": lambda s, d: s.createDataFrame(ADDRESSES, "addr string, kind string").select("addr", "kind", party.redact_addr(F.col("addr"), F.col("kind")).alias("shown")),
     "top_findings": lambda s, d: area_cells(s, d).where("v > 0").orderBy("pop", "v", "area_id", "layer").limit(8),
-    "anti_area": lambda s, d: fact(s, d).join(table(s, d, "areas").select(F.col("city_code").alias("city")).distinct(), "city", "left_anti").select("row_id"),
-    "area_records": lambda s, d: publish.area_records(suppressed(s, d), table(s, d, "areas"), SITE, BASE, SOURCE, "2026-01-01", 2018, 2025),
-    "city_records": lambda s, d: publish.city_cells(cube.city_cells(fact(s, d)), city_pop(s, d)),
+    "anti_area": lambda s, d: table(s, d, "raw_records").select("_file").distinct().join(table(s, d, "feed_files").where("stage = 'loaded'").select("_file"), "_file", "left_anti"),
+    "area_records": area_records,
+    "city_records": city_records,
     "geojson_features": features,
-    "area_pages": lambda s, d: publish.pages(suppressed(s, d), names(s, d)),
-    "heading_scan": lambda s, d: publish.pages(suppressed(s, d), names(s, d)).select("path", F.explode(web.headings(F.col("html"))).alias("heading")),
-    "sitemap": lambda s, d: publish.sitemap(publish.pages(suppressed(s, d), names(s, d)), BASE),
-    "town_list": lambda s, d: table(s, d, "areas").where(~is_blank(F.col("key"))).groupBy("city_code").agg(F.array_sort(F.collect_set("key")).alias("towns")),
+    "area_pages": pages,
+    "heading_scan": lambda s, d: pages(s, d).select("path", F.explode(web.headings(F.col("html"))).alias("heading")),
+    "sitemap": lambda s, d: publish.sitemap(pages(s, d), BASE),
+    "town_list": lambda s, d: areas(s, d).where(~is_blank(F.col("key"))).groupBy("city_code").agg(F.array_sort(F.collect_set("key")).alias("towns")),
 }
 
 
@@ -184,17 +237,34 @@ FROM (SELECT *, trim(translate(coalesce("市区町村コード（発生地）",
 _LAYERS = "(VALUES " + ", ".join(f"('{k}', '{c}')" for k, cs in dims.LAYERS.items() for c in cs) + ") AS l(layer, category)"
 _LAYER = "(VALUES " + ", ".join(f"('{k}')" for k in dims.LAYERS) + ") AS l(layer)"
 _CATS = "(VALUES " + ", ".join(f"('{c}')" for c in dims.CATEGORIES) + ") AS k(category)"
+_REF = f"""(SELECT r.city_code, r.key, r.area_id, b.key IS NOT NULL AS blocks FROM (SELECT city_code, key, min(area_id) AS area_id FROM areas WHERE key IS NOT NULL GROUP BY ALL) r
+ LEFT JOIN (SELECT DISTINCT city_code, {parent_sql('key')} AS key FROM areas) b ON b.city_code = r.city_code AND b.key = r.key)"""
+
+
+def decided_sql(rel: str) -> str:
+    """The decision table over a relation with ``city`` and ``town``: its columns, ``key``, ``area_id``, ``reason``, ``box``."""
+    return f"""
+SELECT * EXCLUDE (step, own, up, blocks, parent), CASE step WHEN 2 THEN own WHEN 5 THEN up END AS area_id,
+       CASE step WHEN 1 THEN '{matching.BLANK}' WHEN 2 THEN '{matching.EXACT}' WHEN 3 THEN '{matching.NO_BLOCK}' WHEN 4 THEN '{matching.BOTH[0]}' || parent || '{matching.BOTH[1]}'
+       WHEN 5 THEN '{matching.PARENT[0]}' || parent || '{matching.PARENT[1]}' ELSE '{matching.MISSING}' END AS reason,
+       CASE WHEN step IN (1, 6) THEN 'unobserved' WHEN step IN (3, 4) THEN 'undecided' END AS box
+FROM (SELECT k.*, o.area_id AS own, u.area_id AS up, u.blocks, CASE WHEN coalesce(regexp_replace(town, '^[\\s\\p{{Z}}\\x{{200B}}\\x85]+|[\\s\\p{{Z}}\\x{{200B}}\\x85]+$', '', 'g'), '') = '' THEN 1 WHEN o.area_id IS NOT NULL THEN 2 WHEN k.parent IS NULL THEN 3
+      WHEN u.area_id IS NOT NULL AND u.blocks THEN 4 WHEN u.area_id IS NOT NULL THEN 5 ELSE 6 END AS step
+FROM (SELECT r.*, coalesce(y.key, '') AS key, {parent_sql("coalesce(y.key, '')")} AS parent FROM ({rel}) r LEFT JOIN ({keys_sql(f"SELECT town AS v FROM ({rel})")}) y ON y.v = r.town) k
+LEFT JOIN {_REF} o ON o.city_code = k.city AND o.key = k.key LEFT JOIN {_REF} u ON u.city_code = k.city AND u.key = k.parent)"""
+
+
+_PLACED = decided_sql(_FACT)
+_CELLS = f"(SELECT city, area_id, year, category, band, count(*) AS n FROM ({_PLACED}) WHERE area_id IS NOT NULL GROUP BY ALL)"
+_LAST = "(SELECT max(_year) FROM incidents)"
+_WINDOW = f"(SELECT * FROM {_CELLS} WHERE year > {_LAST} - {dims.WINDOW_YEARS})"
+_CITY = "(SELECT DISTINCT city_code AS city FROM areas)"
 _AREA_CELLS = f"""
 SELECT a.city_code AS city, a.area_id, l.layer, coalesce(n.n, 0)::BIGINT AS v, a.jinko AS pop
-FROM areas a CROSS JOIN {_LAYER} LEFT JOIN (
-  SELECT f2.area_id, l.layer, count(*) AS n FROM ({_FACT}) f JOIN {_LAYERS} ON f.category = l.category
-  JOIN (SELECT city_code, town, min(area_id) AS area_id FROM (SELECT city_code, name AS town, area_id FROM areas UNION SELECT city_code, key, area_id FROM areas) GROUP BY ALL) f2 ON f2.city_code = f.city AND f2.town = f.town
-  GROUP BY ALL) n ON n.area_id = a.area_id AND n.layer = l.layer"""
-_WINDOWED = f"SELECT * FROM ({_FACT}) WHERE year > (SELECT max(_year) FROM incidents) - 8"
+FROM areas a CROSS JOIN {_LAYER} LEFT JOIN (SELECT f.area_id, l.layer, sum(f.n) AS n FROM {_WINDOW} f JOIN {_LAYERS} ON f.category = l.category GROUP BY ALL) n ON n.area_id = a.area_id AND n.layer = l.layer"""
 _YEAR_CELLS = f"""
-SELECT c.city, k.category, y.year, coalesce(n.n, 0)::BIGINT AS v FROM (SELECT DISTINCT city FROM ({_WINDOWED}) WHERE city <> '') c CROSS JOIN {_CATS}
-CROSS JOIN (SELECT DISTINCT year FROM ({_WINDOWED}) WHERE city <> '') y LEFT JOIN (SELECT city, category, year, count(*) AS n FROM ({_WINDOWED}) GROUP BY ALL) n
-ON n.city = c.city AND n.category = k.category AND n.year = y.year"""
+SELECT c.city, k.category, y.year::INT AS year, coalesce(n.n, 0)::BIGINT AS v FROM {_CITY} c CROSS JOIN {_CATS} CROSS JOIN (SELECT unnest(generate_series({_LAST} - {dims.WINDOW_YEARS - 1}, {_LAST})) AS year) y
+LEFT JOIN (SELECT city, category, year, sum(n) AS n FROM {_WINDOW} GROUP BY ALL) n ON n.city = c.city AND n.category = k.category AND n.year = y.year"""
 _SUPPRESSED = complement_sql(_AREA_CELLS, "city, layer", "area_id")
 _S = f"(SELECT city, area_id, layer, v, pop, state, published::BIGINT AS published, pinned FROM ({_SUPPRESSED}))"
 _POP = "(SELECT city_code, min(city_name) AS city_name, sum(jinko)::BIGINT AS pop FROM areas GROUP BY city_code)"
@@ -204,17 +274,8 @@ SELECT city, layer, pop, hidden, CASE WHEN pop > 0 AND scale IS NOT NULL AND NOT
 FROM (SELECT *, (total * 2000 * unit + pop) // (2 * greatest(pop, 1)) AS steps FROM (SELECT *, CASE scale WHEN 2 THEN 100 WHEN 1 THEN 10 ELSE 1 END AS unit
 FROM (SELECT g.*, p.pop, CASE WHEN pop >= k * 100000 THEN 2 WHEN pop >= k * 10000 THEN 1 WHEN pop >= k * 1000 THEN 0 END AS scale
 FROM (SELECT city, layer, sum(v)::BIGINT AS total, count(*) FILTER (state <> 'shown') AS hidden, greatest(count(*) FILTER (state <> 'shown'), 1) AS k FROM {_S} GROUP BY ALL) g JOIN {_POP} p ON p.city_code = g.city)))"""
-_REF = """(SELECT r.city_code, r.key, r.area_id, b.key IS NOT NULL AS blocks FROM (SELECT city_code, key, min(area_id) AS area_id FROM areas WHERE key IS NOT NULL GROUP BY ALL) r
- LEFT JOIN (SELECT DISTINCT city_code, regexp_extract(key, '^(.+?)[0-9]+丁目$', 1) AS key FROM areas) b ON b.city_code = r.city_code AND b.key = r.key AND b.key <> '')"""
-_DECIDED = f"""
-SELECT count_id, city, town, 2024 AS year, CASE step WHEN 2 THEN own WHEN 5 THEN up END AS area_id,
-       CASE step WHEN 1 THEN '{matching.BLANK}' WHEN 2 THEN '{matching.EXACT}' WHEN 3 THEN '{matching.NO_BLOCK}' WHEN 4 THEN '{matching.BOTH[0]}' || parent || '{matching.BOTH[1]}'
-       WHEN 5 THEN '{matching.PARENT[0]}' || parent || '{matching.PARENT[1]}' ELSE '{matching.MISSING}' END AS reason,
-       CASE WHEN step IN (1, 6) THEN 'unobserved' WHEN step IN (3, 4) THEN 'undecided' END AS box
-FROM (SELECT k.*, o.area_id AS own, u.area_id AS up, CASE WHEN coalesce(regexp_replace(town, '^[\\s\\p{{Z}}\\x{{200B}}\\x85]+|[\\s\\p{{Z}}\\x{{200B}}\\x85]+$', '', 'g'), '') = '' THEN 1 WHEN o.area_id IS NOT NULL THEN 2 WHEN k.parent IS NULL THEN 3
-      WHEN u.area_id IS NOT NULL AND u.blocks THEN 4 WHEN u.area_id IS NOT NULL THEN 5 ELSE 6 END AS step
-FROM (SELECT count_id, city_code AS city, key AS town, coalesce(key, '') AS key, nullif(regexp_extract(key, '^(.+?)[0-9]+丁目$', 1), '') AS parent FROM area_counts) k
-LEFT JOIN {_REF} o ON o.city_code = k.city AND o.key = k.key LEFT JOIN {_REF} u ON u.city_code = k.city AND u.key = k.parent)"""
+_DECIDED = decided_sql("SELECT count_id, city_code AS city, key AS town, 2024 AS year FROM area_counts")
+_BOUNDARY = f"(SELECT b.*, coalesce(y.key, '') AS key FROM boundary b LEFT JOIN ({keys_sql('SELECT s_name AS v FROM boundary')}) y ON y.v = b.s_name WHERE hcode = 8101 AND s_name IS NOT NULL)"
 _RATE = "CASE WHEN coalesce(pop, 0) = 0 THEN 'no_population' WHEN pop <= 0 THEN 'suppressed' WHEN {n} = 0 THEN 'shown' WHEN pop < 500 THEN 'suppressed' WHEN {n} BETWEEN 1 AND 2 THEN 'suppressed' ELSE 'shown' END"
 _HIDE = "CASE WHEN v = 0 THEN FALSE WHEN v BETWEEN 1 AND 2 THEN TRUE WHEN coalesce(pop, 0) = 0 OR v > pop THEN FALSE ELSE pop < 100 AND v <= 5 END"
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)"
@@ -223,14 +284,26 @@ _ORG = ", ".join(f"'{w}'" for w in party.ORGANISATION)
 _PUBLIC = ", ".join(f"'{w}'" for w in party.PUBLIC_WORDS)
 _MANIFEST_ONE = r"""(SELECT run_no, path, h AS content FROM (SELECT run_no, path, fetched_at, nullif(regexp_extract(lower(regexp_replace(sha256, '[\s:\-]', '', 'g')), '([0-9a-f]{64})$', 1), '') AS h FROM fetch_manifest WHERE run_no IS NOT NULL AND path IS NOT NULL)
  QUALIFY row_number() OVER (PARTITION BY run_no, path ORDER BY (h IS NOT NULL) DESC, fetched_at DESC NULLS LAST, h DESC) = 1)"""
-_NARROW = "SELECT doc_id, line_no, clue, n, CASE WHEN ways = 1 THEN 'unique' ELSE 'narrowed' END AS verdict FROM x WHERE ways = 1 OR ways < pow(2, k)"
+_ED = f"""(WITH s AS MATERIALIZED (SELECT * FROM {_S}) SELECT 'raw' AS edition, city, area_id, layer, pop, 'shown' AS state, v AS published FROM s
+ UNION ALL SELECT 'primary', city, area_id, layer, pop, CASE WHEN v BETWEEN 1 AND 2 THEN 'small' ELSE 'shown' END, CASE WHEN NOT v BETWEEN 1 AND 2 THEN v END FROM s
+ UNION ALL SELECT 'final', city, area_id, layer, pop, state, published FROM s)"""
+_PARENTS = f"""(SELECT e.edition, p.city, p.layer, p.s FROM (SELECT city, layer, sum(v)::BIGINT AS s FROM ({_AREA_CELLS}) GROUP BY ALL) p CROSS JOIN (VALUES ('raw'), ('primary')) e(edition)
+ UNION ALL SELECT 'final', y.city, l.layer, CASE WHEN bool_or(y.v BETWEEN 1 AND 2) THEN NULL ELSE sum(y.v)::BIGINT END FROM ({_YEAR_CELLS}) y JOIN {_LAYERS} ON l.category = y.category GROUP BY y.city, l.layer)"""
+_TOWNS = f"""(SELECT city || '|' || clue AS city, clue, sum(coalesce(published, 0))::BIGINT AS shown, count(*) FILTER (state <> 'shown') AS k FROM (SELECT s.*, coalesce({parent_sql('a.key')}, a.key) AS clue FROM {_S} s JOIN areas a ON a.area_id = s.area_id)
+ GROUP BY ALL HAVING count(*) FILTER (state <> 'shown') > 0 AND count(*) FILTER (state = 'withheld') = 0)"""
+_BOUNDS = f"""(SELECT *, CASE WHEN solved THEN edition || '/' || city || '/' || layer END AS route FROM (SELECT *, coalesce(new_lo = new_hi, FALSE) AS solved
+      FROM (SELECT *, CASE WHEN s IS NULL THEN lo ELSE greatest(lo, s - (sum_hi - hi)) END::BIGINT AS new_lo, CASE WHEN s IS NULL THEN hi ELSE least(hi, s - (sum_lo - lo)) END::BIGINT AS new_hi
+      FROM (SELECT *, sum(lo) OVER g AS sum_lo, sum(hi) OVER g AS sum_hi FROM (SELECT *, CASE WHEN state = 'shown' THEN published ELSE 1 END AS lo, CASE WHEN state = 'shown' THEN published WHEN state = 'small' THEN 2 ELSE s END AS hi
+      FROM {_ED} LEFT JOIN {_PARENTS} USING (edition, city, layer)) WINDOW g AS (PARTITION BY edition, city, layer))) WHERE state <> 'shown'))"""
+
 
 SQL = {
-    "cell_counts": f"SELECT city, year, category, count(*) AS n FROM ({_FACT}) WHERE city <> '' AND category IS NOT NULL GROUP BY ALL",
-    "hour_bands": f"SELECT c.city, b.band, coalesce(n.n, 0)::BIGINT AS n FROM (SELECT DISTINCT city FROM ({_FACT}) WHERE city <> '') c CROSS JOIN (VALUES ('0-6'), ('6-12'), ('12-18'), ('18-24')) b(band) LEFT JOIN (SELECT city, band, count(*) AS n FROM ({_FACT}) WHERE band IS NOT NULL GROUP BY ALL) n ON n.city = c.city AND n.band = b.band",
-    "layer_sums": f"SELECT c.city, l.layer, coalesce(n.n, 0)::BIGINT AS n FROM (SELECT DISTINCT city FROM ({_FACT}) WHERE city <> '') c CROSS JOIN {_LAYER} LEFT JOIN (SELECT city, l.layer, count(*) AS n FROM ({_FACT}) f JOIN {_LAYERS} ON l.category = f.category GROUP BY ALL) n ON n.city = c.city AND n.layer = l.layer",
+    "cell_counts": f"SELECT city, area_id, year, category, sum(n)::BIGINT AS n FROM {_CELLS} WHERE category IS NOT NULL GROUP BY ALL",
+    "band_counts": f"SELECT city, area_id, year, band, sum(n)::BIGINT AS n FROM {_CELLS} WHERE band IS NOT NULL GROUP BY ALL",
+    "hour_bands": f"SELECT c.city, b.band, coalesce(n.n, 0)::BIGINT AS n FROM {_CITY} c CROSS JOIN (VALUES ('0-6'), ('6-12'), ('12-18'), ('18-24')) b(band) LEFT JOIN (SELECT city, band, sum(n) AS n FROM {_CELLS} WHERE band IS NOT NULL GROUP BY ALL) n ON n.city = c.city AND n.band = b.band",
+    "layer_sums": f"SELECT c.city, l.layer, coalesce(n.n, 0)::BIGINT AS n FROM {_CITY} c CROSS JOIN {_LAYER} LEFT JOIN (SELECT city, l.layer, sum(f.n) AS n FROM {_WINDOW} f JOIN {_LAYERS} ON l.category = f.category GROUP BY ALL) n ON n.city = c.city AND n.layer = l.layer",
     "city_only": f"SELECT category, count(*) AS n FROM ({_FACT}) WHERE category IS NOT NULL AND category NOT IN (SELECT category FROM {_LAYERS}) GROUP BY ALL",
-    "multi_grain": f"SELECT city, category, year, count(*) AS n, grouping(year)::TINYINT AS over_years FROM ({_FACT}) WHERE city <> '' AND category IS NOT NULL GROUP BY GROUPING SETS ((city, category, year), (city, category))",
+    "multi_grain": f"SELECT city, category, year, sum(n)::BIGINT AS n, grouping(year)::TINYINT AS over_years FROM {_CELLS} WHERE category IS NOT NULL GROUP BY GROUPING SETS ((city, category, year), (city, category))",
     "latest_period_window": f"SELECT year, count(*) AS n FROM ({_FACT}) WHERE year > (SELECT max(_year) FROM incidents) - 3 GROUP BY ALL",
     "area_cells": _AREA_CELLS,
     "city_year_cells": _YEAR_CELLS,
@@ -239,33 +312,38 @@ SQL = {
     "rate_rules": f"SELECT area_id, layer, CASE WHEN coalesce(pop, 0) <= 0 THEN TRUE WHEN v = 0 THEN FALSE WHEN pop < 500 THEN TRUE ELSE v BETWEEN 1 AND 2 END AS suppressed, {_RATE.format(n='v')} AS reason, CASE WHEN {_RATE.format(n='v')} = 'shown' THEN ((v * 200000 + pop) // (2 * pop))::BIGINT END AS hundredths FROM ({_AREA_CELLS})",
     "complement_suppress": f"SELECT city, category, year, v, state, published::BIGINT AS published, pinned FROM ({complement_sql(_YEAR_CELLS, 'city, category', 'year', None)})",
     "complement_suppress_pop": f"SELECT * FROM {_S}",
-    "label_unify_check": f"SELECT city, layer, count(DISTINCT state) AS n_labels FROM {_S} WHERE state <> 'shown' GROUP BY ALL",
+    "label_unify_check": f"SELECT edition, city, layer, count(DISTINCT state) AS n_labels FROM {_ED} WHERE state <> 'shown' GROUP BY ALL",
     "city_rate": _RATES,
     "bar_scale": f"SELECT city, layer, CASE WHEN t <= 0 THEN 1 WHEN t <= b THEN b WHEN t <= 2 * b THEN 2 * b WHEN t <= 5 * b THEN 5 * b ELSE 10 * b END::BIGINT AS scale FROM (SELECT *, pow(10, length(greatest(t, 1)::VARCHAR) - 1)::BIGINT AS b FROM (SELECT city, layer, coalesce(max(published), 0) AS t FROM {_S} GROUP BY ALL))",
     "class_breaks": f"SELECT layer, CASE WHEN published IS NOT NULL THEN (published >= 3)::INT + (published >= 6)::INT + (published >= 12)::INT + (published >= 24)::INT END AS class, count(*) AS n FROM {_S} GROUP BY ALL",
     "displayed_total": f"SELECT city, area_id, (sum(coalesce(published, 0)) + count(*) FILTER (published IS NULL))::BIGINT AS n, CASE WHEN count(*) FILTER (published IS NULL) > 0 THEN '件以上' ELSE '件' END AS unit FROM {_S} GROUP BY ALL",
     "suppression_report": f"SELECT city, layer, count(*) AS n_cells, count(*) FILTER (state = 'small') AS n_small, count(*) FILTER (state = 'withheld') AS n_withheld, bool_or(pinned) AS pinned FROM {_S} GROUP BY ALL",
-    "audit_raw": f"SELECT area_id, layer, published FROM {_S} WHERE published BETWEEN 1 AND 2",
-    "audit_population_line": f"SELECT verdict, count(*) AS n FROM (SELECT CASE WHEN coalesce(pop, 0) = 0 OR published > pop THEN 'kept' WHEN pop < 100 AND published <= 5 THEN 'unsafe' END AS verdict FROM {_S} WHERE published > 0) WHERE verdict IS NOT NULL GROUP BY ALL",
-    "audit_margin": f"""SELECT city, layer, s, shown, k, CASE WHEN w = 0 AND k > 0 THEN s - shown - k END AS m,
+    "audit_raw": f"SELECT edition, area_id, layer, published FROM {_ED} WHERE published BETWEEN 1 AND 2",
+    "audit_population_line": f"SELECT edition, verdict, count(*) AS n FROM (SELECT edition, CASE WHEN coalesce(pop, 0) = 0 OR published > pop THEN 'kept' WHEN pop < 100 AND published <= 5 THEN 'unsafe' END AS verdict FROM {_ED} WHERE published > 0) WHERE verdict IS NOT NULL GROUP BY ALL",
+    "audit_margin": f"""SELECT edition, city, layer, s, shown, k, CASE WHEN w = 0 AND k > 0 THEN s - shown - k END AS m,
       CASE WHEN k = 0 THEN 'nothing hidden' WHEN w > 0 AND w < k THEN 'mixed labels' WHEN w > 0 AND k = 1 THEN 'single cell' WHEN w > 0 THEN 'labels unified' WHEN k < 2 OR s - shown - k <= 0 OR s - shown - k >= k THEN 'recoverable' WHEN least(s - shown - k, 2 * k - s + shown) < 0.25 * k THEN 'thin' ELSE 'safe' END AS verdict
-      FROM (SELECT city, layer, sum(v)::BIGINT AS s, sum(coalesce(published, 0))::BIGINT AS shown, count(*) FILTER (state <> 'shown') AS k, count(*) FILTER (state = 'withheld') AS w FROM {_S} GROUP BY ALL)""",
-    "audit_interval": f"""SELECT area_id, layer, greatest(lo, s - (sum_hi - hi))::BIGINT AS new_lo, least(hi, s - (sum_lo - lo))::BIGINT AS new_hi, greatest(lo, s - (sum_hi - hi)) = least(hi, s - (sum_lo - lo)) AS solved
-      FROM (SELECT *, sum(lo) OVER g AS sum_lo, sum(hi) OVER g AS sum_hi FROM (SELECT *, CASE WHEN state = 'shown' THEN published ELSE 1 END AS lo, CASE WHEN state = 'shown' THEN published WHEN state = 'small' THEN 2 ELSE s END AS hi
-      FROM (SELECT *, sum(v) OVER (PARTITION BY city, layer) AS s FROM {_S})) WINDOW g AS (PARTITION BY city, layer)) WHERE state <> 'shown'""",
-    "audit_rate_precision": f"SELECT city, layer, pop, hidden, value, scale FROM ({_RATES}) WHERE value IS NOT NULL AND pop / 1000 / pow(10, scale) < greatest(hidden, 1)",
-    "audit_checks": f"""SELECT 'raw_small' AS check, count(*) AS n_bad FROM {_S} WHERE published BETWEEN 1 AND 2 UNION ALL SELECT 'population_line', count(*) FROM {_S} WHERE published > 0 AND coalesce(pop, 0) > 0 AND published <= pop AND pop < 100 AND published <= 5
-      UNION ALL SELECT 'mixed_labels', count(*) FROM (SELECT city, layer FROM {_S} WHERE state <> 'shown' GROUP BY ALL HAVING count(DISTINCT state) > 1) UNION ALL SELECT 'duplicate_cells', count(*) FROM (SELECT city, layer, area_id FROM {_S} GROUP BY ALL HAVING count(*) > 1)""",
+      FROM (SELECT edition, city, layer, sum(coalesce(published, 0))::BIGINT AS shown, count(*) FILTER (state <> 'shown') AS k, count(*) FILTER (state = 'withheld') AS w FROM {_ED} GROUP BY ALL) JOIN {_PARENTS} USING (edition, city, layer) WHERE s IS NOT NULL""",
+    "audit_interval": f"SELECT edition, area_id, layer, new_lo, new_hi, solved, route FROM {_BOUNDS}",
+    "audit_recovered": f"SELECT edition, layer, count(*) AS n_hidden, count(*) FILTER (solved) AS n_solved FROM {_BOUNDS} GROUP BY ALL",
+    "audit_parents_missing": f"SELECT edition, city, layer, 'cells' AS \"where\" FROM {_ED} ANTI JOIN (SELECT edition, city, layer FROM {_PARENTS} WHERE s IS NOT NULL) USING (edition, city, layer) GROUP BY ALL",
+    "audit_bars": f"SELECT label, count(*) AS n_rows, 0::BIGINT AS n_leaks FROM (SELECT CASE state WHEN 'small' THEN '1-2件' ELSE '非公開' END AS label FROM {_S} WHERE state <> 'shown') GROUP BY label",
+    "audit_breaks": "SELECT * FROM (VALUES ('draft', 1.0::DOUBLE), ('draft', 2.0::DOUBLE)) t(scale, lower)",
+    "audit_rate_precision": f"""SELECT city, layer, pop, hidden, (total * 200000 + pop) // (2 * pop) AS value, 2 AS scale FROM (SELECT city, layer, sum(v)::BIGINT AS total, count(*) FILTER (state <> 'shown') AS hidden FROM {_S} GROUP BY ALL) g JOIN {_POP} p ON p.city_code = g.city
+      WHERE pop > 0 AND pop / 100000 < greatest(hidden, 1)""",
+    "audit_checks": f"""WITH e AS MATERIALIZED (SELECT * FROM {_ED}) SELECT 'raw_small' AS check, count(*) AS n_bad FROM e WHERE published BETWEEN 1 AND 2 UNION ALL SELECT 'population_line', count(*) FROM e WHERE published > 0 AND coalesce(pop, 0) > 0 AND published <= pop AND pop < 100 AND published <= 5
+      UNION ALL SELECT 'mixed_labels', count(*) FROM (SELECT edition, city, layer FROM e WHERE state <> 'shown' GROUP BY ALL HAVING count(DISTINCT state) > 1) UNION ALL SELECT 'duplicate_cells', count(*) FROM (SELECT edition, city, layer, area_id FROM e GROUP BY ALL HAVING count(*) > 1)""",
+    "match_rows": f"SELECT row_id, city, key, area_id, reason, box FROM ({_PLACED})",
     "decision_table_match": f"SELECT count_id, area_id, reason, box FROM ({_DECIDED})",
     "not_counted": f"SELECT b.box, coalesce(n.n, 0)::BIGINT AS n FROM (VALUES ('unresolved'), ('unobserved'), ('undecided'), ('gone')) b(box) LEFT JOIN (SELECT box, count(*) AS n FROM ({_DECIDED}) GROUP BY ALL) n ON n.box = b.box",
     "match_reasons": f"SELECT reason, count(*) AS n FROM ({_DECIDED}) GROUP BY ALL",
     "match_rate": f"SELECT city, year, count(*) AS n_rows, count(area_id) AS n_matched, ((count(area_id) * 20000 + count(*)) // (2 * count(*)))::BIGINT AS share_bp FROM ({_DECIDED}) GROUP BY ALL",
     "rejects": f"SELECT count_id, town, reason FROM ({_DECIDED}) WHERE area_id IS NULL",
-    "chome_parent": "SELECT area_id, nullif(regexp_extract(key, '^(.+?)[0-9]+丁目$', 1), '') AS parent FROM areas",
+    "place_keys": f"SELECT rec_no, s_name, coalesce(y.key, '') AS key FROM boundary b LEFT JOIN ({keys_sql('SELECT s_name AS v FROM boundary')}) y ON y.v = b.s_name",
+    "chome_parent": f"SELECT area_id, {parent_sql('key')} AS parent FROM areas",
     "city_code5": """SELECT row_id, CASE WHEN regexp_full_match(c, '[0-9]{6}') THEN left(c, 5) WHEN regexp_full_match(c, '[0-9]{5}') THEN c ELSE '' END AS code5 FROM (SELECT row_id, trim(coalesce("市区町村コード（発生地）", '')) AS c FROM incidents)""",
     "longest_prefix": "SELECT entry_id, arg_max(name, length(name)) AS town FROM town_entries t JOIN areas a ON a.city_code = left(t.city_code, 5) AND starts_with(t.s_name, a.name) GROUP BY entry_id",
-    "merge_same_name": "SELECT city_code, s_name AS key, s_name AS name, arg_min(key_code, rec_no) FILTER (key_code IS NOT NULL) AS code, sum(coalesce(jinko, 0))::BIGINT AS jinko, sum(coalesce(setai, 0))::BIGINT AS setai, min(rec_no) AS ord, count(*) AS n_records FROM boundary WHERE hcode = 8101 AND s_name IS NOT NULL GROUP BY city_code, s_name",
-    "codes_in_order": "SELECT city_code, s_name, list(key_code ORDER BY first_no) AS codes FROM (SELECT city_code, s_name, key_code, min(rec_no) AS first_no FROM boundary WHERE hcode = 8101 AND s_name IS NOT NULL AND key_code IS NOT NULL GROUP BY ALL) GROUP BY ALL",
+    "merge_same_name": f"SELECT city_code, key, arg_min(s_name, rec_no) AS name, arg_min(key_code, rec_no) FILTER (key_code IS NOT NULL) AS code, sum(coalesce(jinko, 0))::BIGINT AS jinko, sum(coalesce(setai, 0))::BIGINT AS setai, min(rec_no) AS ord, count(*) AS n_records FROM {_BOUNDARY} GROUP BY city_code, key",
+    "codes_in_order": f"SELECT city_code, key, list(key_code ORDER BY first_no) AS codes FROM (SELECT city_code, key, key_code, min(rec_no) AS first_no FROM {_BOUNDARY} WHERE key_code IS NOT NULL GROUP BY ALL) GROUP BY ALL",
     "skipped_records": "SELECT count(*) FILTER (NOT coalesce(hcode = 8101, FALSE) OR s_name IS NULL) AS n_skipped, count(*) AS n_records FROM boundary",
     "findings": "SELECT DISTINCT '手口' AS kind, _file AS \"where\", \"手口\" AS item FROM incidents WHERE trim(\"手口\") <> '' AND \"手口\" NOT IN (" + ", ".join(f"'{c}'" for c in dims.CATEGORIES) + ") UNION ALL SELECT DISTINCT '罪名', _file, \"罪名\" FROM incidents WHERE trim(\"罪名\") <> '' AND \"罪名\" <> '窃盗'",
     "column_findings": "WITH need AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{x}')" for c, xs in dims.EXTRA.items() for x in xs) + """) n(category, item)), have AS (SELECT DISTINCT _file, unnest(map_keys(_extra)) AS item FROM incidents WHERE _extra IS NOT NULL),
@@ -283,20 +361,19 @@ SQL = {
     "url_scope": "SELECT url, scope, CASE WHEN scope LIKE '%?%' THEN url = scope WHEN scope LIKE '%/' THEN starts_with(split_part(url, '?', 1), scope) ELSE url = scope END AS inside FROM (SELECT DISTINCT url FROM fetch_manifest WHERE url IS NOT NULL) CROSS JOIN (VALUES " + ", ".join(f"('{x}')" for x in SCOPES) + ") s(scope)",
     "word_hits": f"SELECT doc_id, line_no::INT AS line_no, word FROM {_LINES} CROSS JOIN (VALUES " + ", ".join(f"('{w}')" for w in WORDS) + ") w(word) WHERE contains(line, word)",
     "number_tokens": f"SELECT doc_id, count(*) AS n_numbers, sum(n)::BIGINT AS total FROM (SELECT doc_id, try_cast(replace(unnest(regexp_extract_all(line, '[0-9][0-9,]*')), ',', '') AS BIGINT) AS n FROM {_LINES}) WHERE n IS NOT NULL GROUP BY doc_id",
-    "audit_text_parents": f"""WITH g AS (SELECT * FROM (VALUES ('桜', 2000, 12), ('駐輪場', 300, 40), ('鍵', 100, 1), ('report', 2010, 8)) t(clue, shown, k)),
-      t AS (SELECT DISTINCT doc_id, line_no::INT AS line_no, line, try_cast(replace(unnest(regexp_extract_all(line, '[0-9][0-9,]*')), ',', '') AS BIGINT) AS n FROM {_LINES}),
-      x AS (SELECT doc_id, line_no, clue, n, k, CASE WHEN n - shown - k IN (0, k) THEN 1 WHEN k = 12 THEN [12,66,220,495,792,924,792,495,220,66,12][n - shown - k] WHEN k = 8 THEN [8,28,56,70,56,28,8][n - shown - k] ELSE 2 END AS ways FROM t JOIN g ON contains(line, clue) AND n BETWEEN shown + k AND shown + 2 * k) {_NARROW}""",
+    "audit_text_parents": f"""WITH g AS (SELECT * FROM {_TOWNS}), t AS (SELECT DISTINCT doc_id, line_no::INT AS line_no, line, try_cast(replace(unnest(regexp_extract_all(line, '[0-9][0-9,]*')), ',', '') AS BIGINT) AS n FROM {_LINES})
+      SELECT doc_id, line_no, city, clue, n, k, CASE WHEN n - shown - k IN (0, k) THEN 'unique' ELSE 'narrowed' END AS verdict FROM t JOIN g ON contains(line, clue) AND n BETWEEN shown + k AND shown + 2 * k""",
     "party_kind": f"""SELECT name, CASE WHEN list_bool_or(list_transform([{_ORG}], lambda w: contains(name, w))) OR regexp_matches(name, '^国(?:$|[ 　])') OR list_bool_or(list_transform([{_PUBLIC}], lambda w: contains(name, w)))
       OR (NOT regexp_matches(name, '\\p{{Nd}}') AND NOT regexp_matches(name, '丁目|番|号|地') AND length(name) <= 6 AND regexp_matches(name, '[都道府県市区町村]$'))
       OR regexp_matches(core, '[A-Za-z]') OR regexp_matches(core, '^[ァ-ヶー]+$') THEN 'corp' ELSE 'individual' END AS kind
       FROM (SELECT name, regexp_replace(regexp_replace(name, 'ほか|他|外|など|ら', '', 'g'), '[\\s\\p{{Z}}・，,.／/\\-－＆&（）()]', '', 'g') AS core FROM (SELECT s_name AS name FROM supplier UNION SELECT * FROM (VALUES """ + ", ".join(f"('{n}')" for n in NAMES) + ") v(name)))",
     "redact_addr": "SELECT addr, kind, CASE WHEN kind = 'individual' THEN regexp_extract(trim(addr), '^[^-−]*') ELSE trim(addr) END AS shown FROM (VALUES " + ", ".join(f"('{a}', '{k}')" for a, k in ADDRESSES) + ") t(addr, kind)",
     "top_findings": f"SELECT * FROM ({_AREA_CELLS}) WHERE v > 0 ORDER BY pop, v, area_id, layer LIMIT 8",
-    "anti_area": f"SELECT row_id FROM ({_FACT}) WHERE city NOT IN (SELECT city_code FROM areas)",
-    "area_records": f"""SELECT concat_ws(':', '{SITE}', s.city, a.key_codes[1], s.layer) AS id, a.name || '（' || a.city_name || '）2018-2025年の' || ln || 'の窃盗認知件数' AS title, '犯罪統計/' || ln AS kind, '2025-12-31' AS date, '2018-2025' AS period, a.pref, a.city_name AS city, s.city AS city_code,
-      a.city_name || a.name AS addr, s.city || '|' || a.key AS addr_key, s.city || '|' || regexp_replace(a.key, '丁目$', '') AS addr_key_town, '' AS party, 'none' AS party_kind, '{BASE}/cho/' || a.key_codes[1] || '.html' AS url, '{SOURCE}' AS source_url, '2026-01-01' AS fetched_on, s.pop AS population, s.published AS count,
+    "anti_area": "SELECT DISTINCT _file FROM raw_records WHERE _file NOT IN (SELECT _file FROM feed_files WHERE stage = 'loaded' AND _file IS NOT NULL)",
+    "area_records": f"""SELECT concat_ws(':', '{SITE}', s.city, a.key_codes[1], s.layer) AS id, a.name || '（' || a.city_name || '）' || period || '年の' || ln || 'の窃盗認知件数' AS title, '犯罪統計/' || ln AS kind, (SELECT max(_year) FROM incidents) || '-12-31' AS date, period, a.pref, a.city_name AS city, s.city AS city_code,
+      a.city_name || a.name AS addr, s.city || '|' || a.key AS addr_key, s.city || '|' || regexp_replace(a.key, '丁目$', '') AS addr_key_town, '' AS party, 'none' AS party_kind, '{BASE}/cho/' || a.key_codes[1] || '.html' AS url, '{SOURCE}' AS source_url, (SELECT max(delivered_at)::DATE::VARCHAR FROM feed_files WHERE stage = 'loaded') AS fetched_on, s.pop AS population, s.published AS count,
       CASE WHEN s.state = 'withheld' THEN '非公開' WHEN s.published IS NULL THEN '1-2' ELSE s.published::VARCHAR END AS count_label, r AS rate_per_1k, r IS NULL AS rate_suppressed
-      FROM (SELECT *, CASE layer WHEN 'bicycle' THEN '自転車' ELSE '車・バイク' END AS ln, CASE WHEN published IS NOT NULL AND {_RATE.format(n='published')} = 'shown' THEN ((published * 200000 + pop) // (2 * pop)) / 100 END::DOUBLE AS r FROM {_S}) s JOIN areas a ON a.area_id = s.area_id""",
+      FROM (SELECT *, CASE layer WHEN 'bicycle' THEN '自転車' ELSE '車・バイク' END AS ln, CASE WHEN published IS NOT NULL AND {_RATE.format(n='published')} = 'shown' THEN ((published * 200000 + pop) // (2 * pop)) / 100 END::DOUBLE AS r FROM {_S}, (SELECT (max(_year) - 7) || '-' || max(_year) AS period FROM incidents)) s JOIN areas a ON a.area_id = s.area_id""",
     "city_records": f"""SELECT p.city_code, p.city_name AS city, '犯罪統計/' || category AS kind, year AS period, CASE WHEN NOT (v BETWEEN 1 AND 2) THEN v END AS count, CASE WHEN v <= 0 THEN '0' WHEN v <= 2 THEN '1-2' ELSE v::VARCHAR END AS count_label, p.pop AS population,
       CASE WHEN {_RATE.format(n='v')} = 'shown' THEN ((v * 200000 + pop) // (2 * pop)) / 100 END::DOUBLE AS rate_per_1k, CASE WHEN coalesce(pop, 0) <= 0 THEN TRUE WHEN v = 0 THEN FALSE WHEN pop < 500 THEN TRUE ELSE v BETWEEN 1 AND 2 END AS rate_suppressed
       FROM ({_YEAR_CELLS}) c JOIN {_POP} p ON p.city_code = c.city""",

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -25,12 +24,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster's shared folder (``spark.checkpoint.dir``) if it names one; a temporary one only where it is unset."""
+    """The shared folder that ``spark.checkpoint.dir`` names. Where it is unset a local session (tests, bench) uses the warehouse folder beside
+    its tables; a cluster session has to name one, since a folder of one machine is lost with it."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    shared = sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tallyspan-checkpoint-"))
+    shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(shared)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -43,15 +47,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: A side is broadcast only after it was counted and holds no more rows than this.
-BROADCAST_ROWS = 200_000
+#: A side is broadcast only after it was counted and holds no more rows and no more bytes of text than this.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether a bounded count proves that ``df`` holds at most ``most`` rows and ``BROADCAST_BYTES`` bytes of text."""
+    text = [F.octet_length(F.col(f"`{f.name}`") if f.dataType.typeName() in ("string", "binary") else F.to_json(F.struct(F.col(f"`{f.name}`")))) for f in df.schema if f.dataType.typeName() in ("string", "binary", "array", "map", "struct")]
+    size = sum((F.coalesce(t, F.lit(0)).cast("bigint") for t in text), F.lit(0).cast("bigint"))
+    r = df.select(size.alias("b")).limit(most + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return r.n <= most and r.b <= BROADCAST_BYTES
 
 
 def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if a bounded count proves it small; unmarked (shuffled join) otherwise."""
-    from pyspark.sql import functions as F
+    return F.broadcast(df) if is_small(df, most) else df
+
 
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def left_join_dimension(facts: DataFrame, dim: DataFrame, key: str, spread_by: Column, most: int = BROADCAST_ROWS, salts: int = 32, how: str = "left") -> DataFrame:
+    """``facts`` joined with ``dim``, which has one row per ``key``: broadcast if counted small, else shuffled with every key spread over ``salts``
+    tasks, so that a key that holds a third of all rows is no task of its own. ``spread_by`` tells the rows of a key apart."""
+    if is_small(dim, most):
+        return facts.join(F.broadcast(dim), key, how)
+    salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
 
 
 def spread(df: DataFrame) -> DataFrame:
