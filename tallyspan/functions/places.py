@@ -1,7 +1,8 @@
 """Place names and addresses: keys that spellings of one place share.
 
-``nfkc`` and ``kanji_digits`` are the two steps Spark has no expression for; they are Arrow-batched, see each distinct name of a batch once and
-move no other column, so that no row is shuffled for its key. Everything else stays in the JVM. Nulls give '' as a key, as blank names do.
+Unicode normalization and kanji numbers are the steps Spark has no expression for; they are Arrow-batched, see each distinct name of a batch
+once and move no other column, so that no row is shuffled for its key. Everything else stays in the JVM. Nulls give '' as a key, as blank
+names do.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def read_number(s: str, unknown_ones: int | None = None) -> int | None:
 
 def once_each(s: pd.Series, fn) -> pd.Series:
     """``fn`` of every value, worked out once per distinct value; nulls stay."""
-    return s.map({x: fn(x) for x in s.dropna().unique()})
+    known = {x: fn(x) for x in s.dropna().unique()}
+    return pd.Series([known.get(x) for x in s], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
@@ -50,26 +52,27 @@ def kanji_digits(s: pd.Series) -> pd.Series:
     return once_each(s, digits_of)
 
 
-def _number(run: Column) -> Column:
-    """``read_number`` of a run of kanji digits and tens, for the JVM."""
-    digit = lambda c: F.when(F.length(c) == 1, F.nullif(F.instr(F.lit(DIGITS), c), F.lit(0)) - 1)
-    ten = F.instr(run, "十")
-    tens, ones = F.substring(run, F.lit(1), ten - 1), F.substring(run, ten + 1, F.length(run))
-    low = F.when(ones == "", F.lit(0)).otherwise(digit(ones))
-    return F.when(ten == 0, digit(run)).otherwise(F.coalesce(digit(tens), F.lit(1)) * 10 + low)
+#: Spellings that stand for one kana, and blanks that are left out (fixed values).
+ONE_KANA = str.maketrans({"ヶ": "ケ", "ヵ": "ケ", "之": "ノ", "の": "ノ", "ッ": "ツ", "　": "", " ": ""})
+KANJI_BLOCK = re.compile(rf"([{DIGITS}十]+)丁目\Z")
+ZEROS = re.compile(r"(?<![0-9])0+(?=[0-9]+丁目\Z)")
 
 
-def key_of(folded: Column) -> Column:
-    """Key of a name that is already in NFKC: one kana for its variants, no blanks, Arabic block number without leading zeros."""
-    s = F.translate(F.trim(folded), "ヶヵ之のッ　 ", "ケケノノツ")
-    kanji = F.regexp_extract(s, rf"([{DIGITS}十]+)丁目\z", 1)
-    n = _number(kanji)
-    s = F.when((kanji != "") & n.isNotNull(), F.concat(F.regexp_replace(s, rf"[{DIGITS}十]+丁目\z", ""), n.cast("string"), F.lit("丁目"))).otherwise(s)
-    return F.coalesce(F.regexp_replace(s, r"(?<!\d)0+(?=\d+丁目\z)", ""), F.lit(""))
+def key_text(name: str) -> str:
+    """Key of a name: NFKC, one kana for its variants, no blanks, Arabic block number without leading zeros."""
+    s = unicodedata.normalize("NFKC", name).strip(" ").translate(ONE_KANA)
+    if (m := KANJI_BLOCK.search(s)) and (n := read_number(m.group(1))) is not None:
+        s = f"{s[: m.start()]}{n}丁目"
+    return ZEROS.sub("", s)
+
+
+@F.pandas_udf(T.StringType())
+def key_texts(s: pd.Series) -> pd.Series:
+    return once_each(s, key_text)
 
 
 def place_key(name: Column) -> Column:
-    return key_of(nfkc(name))
+    return F.coalesce(key_texts(name), F.lit(""))
 
 
 def parent_key(key: Column) -> Column:
