@@ -2,7 +2,8 @@
 
 Each record is read permissively under an explicit schema, the header of its own file: a record that fits becomes its
 fields, one that does not keeps its raw text in ``_corrupt``. Corrupt records are then classified by quoting, field count
-and cast checks, in that order. Everything is a JVM expression; the only exchange is the join of records with headers.
+and cast checks, in that order. Everything is a JVM expression. Headers (one row per file) are broadcast where a count proves them small:
+then no record is shuffled. Beyond that records meet their header in salted groups, so a huge file is many tasks.
 
 Defined results
 ---------------
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.text import fold_width, trim_header, trim_space
+from tallyspan.session import BROADCAST_ROWS, left_join_dimension
 
 CITY, DAY, HOUR = "市区町村コード（発生地）", "発生年月日（始期）", "発生時（始期）"
 #: Columns every incident file has.
@@ -86,11 +88,11 @@ def day_exists(parts: Column) -> Column:
     return F.coalesce((F.size(parts) == 3) & (y >= 1) & m.between(1, 12) & d.between(1, last), F.lit(False))
 
 
-def read_permissive(records: DataFrame) -> DataFrame:
+def read_permissive(records: DataFrame, most_files: int = BROADCAST_ROWS) -> DataFrame:
     """Every record that is neither header nor blank: its ``line_id``, ``_file``, ``_year``, ``raw``, ``names``, ``fields``
     (null where the quoting is broken) and ``reason`` (null where it parses)."""
     rows = records.where(F.coalesce(F.col("line_no"), F.lit(0)) != 1).select("line_id", "_file", "_year", "raw")
-    joined = rows.join(headers(records), F.col("_file") == F.col("h_file"), "left").withColumn("delim", F.coalesce("delim", F.lit(",")))
+    joined = left_join_dimension(rows, headers(records).withColumnRenamed("h_file", "_file"), "_file", F.col("line_id"), most_files).withColumn("delim", F.coalesce("delim", F.lit(",")))
     raw = F.col("raw")
     value = lambda k: trim_space(fold_width(F.coalesce(unquote(F.try_element_at("fields", F.col(f"at_{k}"))), F.lit(""))))
     fits = {
