@@ -1,12 +1,13 @@
 """What changed between full snapshots.
 
-Rows of all snapshots are range-partitioned and sorted by key, so that a partition holds a stretch of the key space of every
-snapshot. A key whose own hash is 0 modulo ``CHUNK_KEYS`` starts a new chunk (content-defined: an inserted or removed key
-moves no other boundary). Per chunk and snapshot a 128-bit digest of its rows is kept; where the digests of a snapshot and
-its predecessor are equal the chunk is discarded, only the rows of unmatched chunks go on to the join that classifies them.
+Every key belongs to the chunk that the leading bits of its own hash name, so chunks are cut by content: an inserted or removed key moves no
+boundary. Rows are partitioned by chunk and sorted by key and run within it, which holds a stretch of the key space of every snapshot. Per
+chunk and pair of consecutive snapshots a 128-bit digest of the rows of both sides is kept; where it shows that the sides are equal the
+chunk is discarded, only rows of unmatched chunks are joined by key and classified.
 
-Exchanges: one hash exchange of pre-aggregated entries (a key listed a million times in a run arrives as one row per map
-task), one range exchange by key, one of the rows of unmatched chunks. No broadcast of anything that grows with the data.
+One exchange in all: rows by chunk, narrowed to key, run, time, binary hash and url. Before it every batch is combined (``combined``), so that a
+key that is listed a million times arrives as a few rows; deduplication, carried content, digests and the join all run on the chunk's
+partitioning, in the JVM. Nothing that grows with the data is broadcast: the runs are counted first.
 
 Defined results
 ---------------
@@ -16,6 +17,7 @@ Defined results
 * of several hashes of a key in a run the one fetched last counts (ties: the greatest hash), its ``url`` with it; a null url
   is a value of its own.
 * input columns other than those named in ``entries`` are ignored.
+* with ``observations`` (what is known of each run) only pairs of complete runs of the same origin and method are compared.
 """
 
 from __future__ import annotations
@@ -25,10 +27,10 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Mean number of keys in a chunk.
-CHUNK_KEYS = 8
-#: A chunk without a boundary key is cut after so many keys, which bounds the memory of a chunk.
-MOST_KEYS = 4096
+from tallyspan.session import broadcast_if_small
+
+#: Chunks are the values of so many leading bits of a key's hash.
+CHUNK_BITS = 20
 
 
 def hash_value(c: Column) -> Column:
@@ -45,77 +47,67 @@ def entries(manifest: DataFrame) -> DataFrame:
     return rows.groupBy("run_no", "path").agg(F.max("e").alias("e")).select("run_no", "path", "e.url", "e.content")
 
 
-def snapshots(manifest: DataFrame) -> DataFrame:
-    """Key-sorted states: content carried forward from the last run that knew it, and the number of the next run."""
-    e = entries(manifest)
-    runs = manifest.where(F.col("run_no").isNotNull()).select("run_no").distinct()
-    order = Window.orderBy("run_no")  # one row per run
-    next_run = runs.select("run_no", F.lead("run_no").over(order).alias("next_run"), (F.lag("run_no").over(order).isNotNull()).alias("has_before"))
-    known = Window.partitionBy("path").orderBy("run_no")
-    return (
-        e.join(next_run, "run_no")
-        .repartitionByRange("path")
-        .withColumn("content", F.last("content", ignorenulls=True).over(known))
-        .select(
-            "run_no", "next_run", "has_before", "path", "url", "content", (F.pmod(F.xxhash64("path"), F.lit(CHUNK_KEYS)) == 0).alias("starts"),
-            F.xxhash64("path", F.coalesce("content", F.lit("")), F.col("content").isNull(), F.coalesce("url", F.lit("")), F.col("url").isNull()).alias("h1"),
-            F.xxhash64(F.lit(7), "url", "content", "path").alias("h2"),
-        )
-        .sortWithinPartitions("path", "run_no")
+def _combine(batches: Iterator) -> Iterator:
+    """Of the rows of a batch with the same run and key the one that counts; a batch without any such rows passes as it is."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        keys = np.sort(batch.column("k").to_numpy(zero_copy_only=False))
+        if len(keys) > 1 and (keys[1:] == keys[:-1]).any():
+            pdf = batch.to_pandas()
+            pdf["has"] = pdf.content.notna()
+            pdf = pdf.sort_values(["has", "fetched_at", "content", "url"], na_position="first", kind="stable").drop_duplicates(["run_no", "path"], keep="last").drop(columns="has")
+            batch = pa.RecordBatch.from_pandas(pdf, schema=batch.schema, preserve_index=False)
+        yield batch
+
+
+def combined(manifest: DataFrame) -> DataFrame:
+    """Narrow rows with their ``chunk``, pre-aggregated per batch."""
+    rows = manifest.where(F.col("run_no").isNotNull() & F.col("path").isNotNull()).select(
+        F.col("run_no").cast("int").alias("run_no"), "path", "url", F.unix_micros(F.col("fetched_at").cast("timestamp")).alias("fetched_at"), F.unhex(hash_value(F.col("sha256"))).alias("content"),
+        F.shiftrightunsigned(F.xxhash64("path"), 64 - CHUNK_BITS).cast("int").alias("chunk"), F.xxhash64("run_no", "path").alias("k"),
     )
+    return rows.mapInArrow(_combine, rows.schema).drop("k")
 
 
-def _unmatched(batches: Iterator) -> Iterator:
-    """Rows of the chunks whose digest differs between a run and the one before: ``run`` compared, ``side`` (1 now, 0 before)."""
-    import numpy as np
-    import pandas as pd
-
-    def judge(part: pd.DataFrame) -> pd.DataFrame:
-        now = part[part.has_before]
-        before = part[part.next_run.notna()]
-        both = pd.concat([now.assign(run=now.run_no.astype("int64"), side=1), before.assign(run=before.next_run.astype("int64"), side=0)], ignore_index=True)
-        if both.empty:
-            return both.reindex(columns=["run", "path", "side", "url", "content"])
-        sign = np.where(both.side.to_numpy() == 1, 1, -1).astype("int64")
-        with np.errstate(over="ignore"):
-            # digests of the same chunk are equal if the signed sums of both hashes over the two runs vanish
-            sums = pd.DataFrame({"c": both.chunk, "r": both.run, "a": both.h1.to_numpy() * sign, "b": both.h2.to_numpy() * sign}).groupby(["c", "r"]).transform("sum")
-        return both[(sums.a != 0) | (sums.b != 0)][["run", "path", "side", "url", "content"]]
-
-    rest, base = None, 0
-    for pdf in batches:
-        part = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-        if part.empty:
-            continue
-        new_key = (part.path != part.path.shift()).to_numpy()
-        keys = np.cumsum(new_key)
-        forced = new_key & (keys % MOST_KEYS == 0)
-        chunk = np.cumsum((new_key & part.starts.to_numpy()) | forced)
-        part["chunk"] = chunk + base
-        last = chunk == chunk[-1]
-        done = part[~last]
-        rest = part[last].drop(columns="chunk")
-        base += int(chunk[-1]) + 1
-        if len(done):
-            yield judge(done)
-    if rest is not None and len(rest):
-        rest["chunk"] = 0
-        yield judge(rest)
-
-
-def unmatched_rows(manifest: DataFrame) -> DataFrame:
-    return snapshots(manifest).mapInPandas(_unmatched, "run bigint, path string, side int, url string, content string")
-
-
-def changes(manifest: DataFrame) -> DataFrame:
+def run_pairs(manifest: DataFrame, observations: DataFrame | None = None) -> DataFrame:
+    """``run_no``, ``next_run`` and whether the run is compared with the one before it (``has_before``) and after it (``has_next``)."""
+    from tallyspan.operators.observe import may_diff
+
+    runs = manifest.where(F.col("run_no").isNotNull()).select(F.col("run_no").cast("int").alias("run_no")).distinct()
+    order = Window.orderBy("run_no")  # one row per run
+    if observations is None:
+        return runs.select("run_no", F.lead("run_no").over(order).alias("next_run"), F.lag("run_no").over(order).isNotNull().alias("has_before")).withColumn("has_next", F.col("next_run").isNotNull())
+    known = runs.join(observations.select("run_no", F.struct("complete", "origin", "method").alias("o")), "run_no", "left")
+    pairs = known.select("run_no", "o", F.lead("run_no").over(order).alias("next_run"), F.lag("o").over(order).alias("o_before"), F.lead("o").over(order).alias("o_next"))
+    return pairs.select("run_no", "next_run", may_diff(F.col("o_before"), F.col("o")).alias("has_before"), may_diff(F.col("o"), F.col("o_next")).alias("has_next"))
+
+
+def unmatched_rows(manifest: DataFrame, observations: DataFrame | None = None) -> DataFrame:
+    """Rows of the chunks that differ between a run and the one before: ``chunk``, ``run`` compared, ``side`` (1 now, 0 before), ``path``, ``state``."""
+    entry = F.struct(F.col("content").isNotNull().alias("has"), "fetched_at", "content", "url")
+    e = combined(manifest).repartition("chunk").groupBy("chunk", "path", "run_no").agg(F.max(entry).alias("e"))
+    known = Window.partitionBy("chunk", "path").orderBy("run_no")
+    e = e.select("chunk", "path", "run_no", F.col("e.url").alias("url"), F.last("e.content", ignorenulls=True).over(known).alias("content"))
+    e = e.join(broadcast_if_small(run_pairs(manifest, observations)), "run_no")
+    hashes = [F.xxhash64(F.lit(seed), "path", F.coalesce("content", F.lit(b"")), F.col("content").isNull(), F.coalesce("url", F.lit("")), F.col("url").isNull()).alias(f"h{seed}") for seed in (1, 2)]
+    sides = F.array(F.when(F.col("has_before"), F.struct(F.col("run_no").alias("run"), F.lit(1).alias("side"))), F.when(F.col("has_next"), F.struct(F.col("next_run").alias("run"), F.lit(0).alias("side"))))
+    both = e.select("chunk", "path", F.struct("url", "content").alias("state"), *hashes, F.explode(F.array_compact(sides)).alias("s")).select("chunk", "path", "state", "h1", "h2", "s.run", "s.side")
+    # rows that both sides hold cancel each other out of the digest; sorted by key, as the join below needs them
+    whole = Window.partitionBy("chunk", "run").orderBy("path").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    digest = both.withColumns({"d1": F.bit_xor("h1").over(whole), "d2": F.bit_xor("h2").over(whole)})
+    return digest.where((F.col("d1") != 0) | (F.col("d2") != 0)).select("chunk", "run", "side", "path", "state")
+
+
+def changes(manifest: DataFrame, observations: DataFrame | None = None) -> DataFrame:
     """``run_no``, ``path``, ``change`` (added, removed, changed) against the next lower run that exists."""
-    state = F.struct("url", "content")
     return (
-        unmatched_rows(manifest)
-        .groupBy("run", "path")
-        .agg(F.max(F.when(F.col("side") == 1, state)).alias("now"), F.max(F.when(F.col("side") == 0, state)).alias("before"))
+        unmatched_rows(manifest, observations)
+        .groupBy("chunk", "run", "path")
+        .agg(F.max(F.when(F.col("side") == 1, F.col("state"))).alias("now"), F.max(F.when(F.col("side") == 0, F.col("state"))).alias("before"))
         .select(
-            F.col("run").cast("int").alias("run_no"),
+            F.col("run").alias("run_no"),
             "path",
             F.when(F.col("before").isNull(), "added").when(F.col("now").isNull(), "removed").when(~F.col("now").eqNullSafe(F.col("before")), "changed").alias("change"),
         )
