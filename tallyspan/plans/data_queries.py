@@ -39,8 +39,9 @@ QUERIES = {
     "p2_report": lambda s, d: rejects.report(table(s, d, "raw_records")),
     "p4_found": lambda s, d: snapshot.changes(table(s, d, "fetch_manifest")),
     "p4_report": lambda s, d: snapshot.report(table(s, d, "fetch_manifest")),
-    "p5_found": lambda s, d: drift.changes(table(s, d, "incidents"), table(s, d, "feed_files")),
-    "p5_table": lambda s, d: drift.promote(table(s, d, "incidents"), drift.APPROVED, drift.SYNONYMS),
+    "p5_found": lambda s, d: drift.changes(table(s, d, "incidents"), table(s, d, "feed_files"), drift.APPROVED),
+    "p5_table": lambda s, d: drift.consistent_table(table(s, d, "incidents"), table(s, d, "feed_files"), drift.APPROVED),
+    "p5_lineage": lambda s, d: drift.lineage(drift.changes(table(s, d, "incidents"), table(s, d, "feed_files"), drift.APPROVED), table(s, d, "feed_files"), list(drift.APPROVED)),
 }
 
 SQL = {
