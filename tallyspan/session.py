@@ -64,13 +64,14 @@ def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, most) else df
 
 
-def left_join_dimension(facts: DataFrame, dim: DataFrame, key: str, spread_by: Column, most: int = BROADCAST_ROWS, salts: int = 32, how: str = "left") -> DataFrame:
+def left_join_dimension(facts: DataFrame, dim: DataFrame, key: str | list[str], spread_by: Column, most: int = BROADCAST_ROWS, salts: int = 32, how: str = "left") -> DataFrame:
     """``facts`` joined with ``dim``, which has one row per ``key``: broadcast if counted small, else shuffled with every key spread over ``salts``
     tasks, so that a key that holds a third of all rows is no task of its own. ``spread_by`` tells the rows of a key apart."""
+    key = [key] if isinstance(key, str) else list(key)
     if is_small(dim, most):
         return facts.join(F.broadcast(dim), key, how)
     salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
+    return facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).join(salted, [*key, "_salt"], how).drop("_salt")
 
 
 def spread(df: DataFrame) -> DataFrame:
