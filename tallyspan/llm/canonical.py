@@ -5,16 +5,18 @@ Damerau-Levenshtein distance, a true metric, so a BK-tree per city with triangle
 threshold. The closest entry wins if it is alone; ties and block numbers that are not listed win nothing. Names can also be typed by
 their reading, in kana or in Latin letters: each script has a tree of its own.
 
-A reference list that a bounded count proves small travels to the workers and nothing is shuffled. A larger one is sharded: values
-and entries meet per city and salt, each shard names its winners, and the winners of a value are merged afterwards.
+A reference list that a bounded count proves small travels to the workers once, its trees are built once per process, and nothing is shuffled.
+A larger one is sharded: every shard holds a part of a city's entries, every distinct value meets every shard of its city, each shard names
+its winners, and the winners of a value are merged. Both sides of a shard are bounded, whatever one city holds.
 
 Defined results: null values and values of white-space only are not rows; a value that names no area has 0; so has one whose city is
-null or not in the list; null names of the reference are skipped; repeated values are mapped one by one; a very long value is further from
-every name than the threshold and is rejected by its length; extra columns are ignored.
+null or not in the list; null names of the reference are skipped; repeated values are mapped one by one; names and values may be of any
+length (the distance is cut off where it can decide nothing); extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -25,12 +27,14 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.lookalike import canonical as one_width
 from tallyspan.llm.lookalike import skeleton
+from tallyspan.session import broadcast_if_small, left_join_dimension
 
 #: Names of fewer characters than this may differ by one edit, others by two; of readings twice as many.
 SHORT = 4
 #: Reference lists up to this size travel to the workers.
 MOST_ENTRIES = 50_000
-SALTS = 16
+#: Entries in a shard of a larger one, and distinct values that meet it in one task.
+SHARD_ENTRIES, GROUP_VALUES = 20_000, 50_000
 
 #: Older or simplified forms and kana that stand for each other in place names (fixed values).
 VARIANTS = str.maketrans(
@@ -39,7 +43,9 @@ VARIANTS = str.maketrans(
 )
 KANJI_DIGITS = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 NUMBER = r"(?:\d{1,3}|[一二三四五六七八九十]{1,3})"
-NOISE = re.compile(r"(?:[(（][^()（）0-9]*[)）]|付近|周辺|近辺|界隈|路上|先路上|地先|地内|先|あたり|辺り|の一部|公園横|公園前|駅前|[*＊?？!！。、,.・※~〜]+|\(?旧\)?)\Z")
+#: Words and marks behind a name that say where near it something is (fixed values).
+NEAR_WORDS = ("付近", "周辺", "近辺", "界隈", "先路上", "路上", "地先", "地内", "先", "あたり", "辺り", "の一部", "公園横", "公園前", "駅前", "(旧)", "(旧", "旧)", "旧")
+NEAR_MARKS = "*＊?？!！。、,.・※~〜"
 BLOCK = re.compile(
     rf"\A(?P<base>.+?)(?:第?(?P<n>{NUMBER})(?:丁目|丁|ちょうめ|チョウメ|町目|-?chome)(?P<rest>.*)|\((?P<p>\d{{1,3}})\)|(?P<a>\d{{1,4}})-(?P<b>\d{{0,5}})(?:-(?P<c>\d{{0,5}}))?|(?P<q>\d{{1,3}}))\Z", re.I | re.S
 )
@@ -122,22 +128,31 @@ def tidy(value: str) -> str:
     return s
 
 
+def bare(s: str, least: str | None = None) -> str:
+    """``s`` without the remarks behind it; a text of nothing but remarks stays as the last of them, or becomes ``least``."""
+    while True:
+        cut = s.rstrip(NEAR_MARKS)
+        if cut == s and s[-1:] in (")", "）") and (at := max(s.rfind("(", 0, -1), s.rfind("（", 0, -1))) >= 0 and not any(c in "()（）0123456789" for c in s[at + 1 : -1]):
+            cut = s[:at]
+        if cut == s and (word := next((w for w in NEAR_WORDS if s.endswith(w)), None)):
+            cut = s[: -len(word)]
+        if cut == s:
+            return s
+        if not cut:
+            return s if least is None else least
+        s = cut
+
+
 def take_apart(s: str) -> tuple[str, list[int | None]]:
     """Name and the block numbers it may mean, likeliest first (null: none; lot numbers are no block)."""
-    for _ in range(3):
-        cut = NOISE.sub("", s)
-        if cut == s or not cut:
-            break
-        s = cut
+    s = bare(s)
     m = BLOCK.match(s)
     if (not m or not m["n"]) and (lot := LOT.match(s)):
         return lot["base"], [None]
     if not m:
         return s, [None]
     if m["n"]:
-        rest = m["rest"]
-        for _ in range(3):
-            rest = NOISE.sub("", rest)
+        rest = bare(m["rest"], "")
         n = kanji_number(m["n"])
         if not AFTER_BLOCK.match(rest) or n is None:
             return s, [None]
@@ -150,7 +165,8 @@ def take_apart(s: str) -> tuple[str, list[int | None]]:
 
 
 def distance(a: str, b: str, most: int) -> int:
-    """Unrestricted Damerau-Levenshtein distance; anything above ``most`` comes back as ``most + 1`` at least."""
+    """Unrestricted Damerau-Levenshtein distance; anything above ``most`` comes back as ``most + 1`` at least. Only a band of ``most`` cells around
+    the diagonal is worked out: what leaves it costs more."""
     if a == b:
         return 0
     la, lb = len(a), len(b)
@@ -159,21 +175,22 @@ def distance(a: str, b: str, most: int) -> int:
     big = la + lb
     last: dict[str, int] = {}
     d = [[big] * (lb + 2) for _ in range(la + 2)]
-    for i in range(la + 1):
+    for i in range(min(la, most) + 1):
         d[i + 1][1] = i
-    for j in range(lb + 1):
+    for j in range(min(lb, most) + 1):
         d[1][j + 1] = j
     for i in range(1, la + 1):
-        seen = 0
-        for j in range(1, lb + 1):
+        seen, ch = 0, a[i - 1]
+        up, row = d[i], d[i + 1]
+        for j in range(max(1, i - most), min(lb, i + most) + 1):
             k, m = last.get(b[j - 1], 0), seen
-            if a[i - 1] == b[j - 1]:
+            if ch == b[j - 1]:
                 cost, seen = 0, j
             else:
                 cost = 1
-            d[i + 1][j + 1] = min(d[i][j] + cost, d[i + 1][j] + 1, d[i][j + 1] + 1, d[k][m] + (i - k - 1) + 1 + (j - m - 1))
-        last[a[i - 1]] = i
-    return d[la + 1][lb + 1]
+            row[j + 1] = min(up[j] + cost, row[j] + 1, up[j + 1] + 1, d[k][m] + (i - k - 1) + 1 + (j - m - 1))
+        last[ch] = i
+    return d[la + 1][lb + 1] if d[la + 1][lb + 1] <= most else max(d[la + 1][lb + 1], most + 1)
 
 
 class BKTree:
@@ -187,7 +204,7 @@ class BKTree:
             self.root = (word, {})
             return
         node = self.root
-        while (d := distance(word, node[0], 1 << 30)) != 0:
+        while (d := distance(word, node[0], len(word) + len(node[0]))) != 0:
             if d not in node[1]:
                 node[1][d] = (word, {})
                 return
@@ -198,7 +215,10 @@ class BKTree:
         out, todo = [], [self.root] if self.root else []
         while todo:
             w, kids = todo.pop()
-            d = distance(word, w, 1 << 30)
+            cutoff = max(kids, default=0) + most  # from here on neither the node nor any child can be within reach
+            d = distance(word, w, cutoff)
+            if d > cutoff:
+                continue
             if d <= most:
                 out.append((d, w))
             todo += [kids[k] for k in range(max(1, d - most), d + most + 1) if k in kids] if len(kids) > 2 * most else [n for k, n in kids.items() if d - most <= k <= d + most]
@@ -243,7 +263,7 @@ class City:
             return [(-1, a, "") for a in same]
         s = tidy(value)
         seen = {s: 0}
-        for _ in range(3):  # prefecture, then city
+        while True:  # prefecture, then city
             cut = self.strip.sub("", s) if self.strip else s
             if cut == s or not cut:
                 break
@@ -255,7 +275,7 @@ class City:
             readings += [(m["base"] + m["c"], [n], 1)] if n is not None else []
         best: dict[int, tuple[int, str]] = {}
         for base, blocks, slip in readings:
-            if len(base) > 64 or not base:
+            if not base:
                 continue
             kind = script(base)
             word = fold(base, kind)
@@ -266,7 +286,7 @@ class City:
                 words = [(0, word)]
             else:
                 tree = self.trees.get(kind)
-                near = tree.near(word, 2 - slip) if tree and len(word) <= 64 else []
+                near = tree.near(word, 2 - slip) if tree else []
                 words = [(d, w) for d, w in near if d <= (1 if max(len(word), len(w)) < short else 2) - slip]
             for d, w in words:
                 by_block = self.areas[kind, w]
@@ -299,13 +319,23 @@ COLUMNS = ["area_id", "city_name", "pref", "name", "key", "yomi"]
 def wanted(entries: DataFrame, areas: DataFrame) -> DataFrame:
     """``entry_id``, ``city``, ``value`` of the entries to map: neither blank nor, as they stand, a name of their city."""
     from tallyspan.functions.text import is_blank
-    from tallyspan.session import broadcast_if_small
 
     rows = entries.where(~is_blank(F.col("s_name"))).select("entry_id", F.substring("city_code", 1, 5).alias("city"), F.col("s_name").alias("value"))
     names = areas.select(F.col("city_code").alias("a_city"), F.col("name").alias("a_name")).distinct()
     return rows.join(broadcast_if_small(names), (F.col("city") == F.col("a_city")) & (F.col("value") == F.col("a_name")), "left_anti")
 
 
+_built: dict[str, tuple[dict, dict]] = {}
+
+
+def _trees(key: str) -> tuple[dict[str, City], dict[tuple[str, str], int]]:
+    """Cities and answers of one reference list, kept once per Python process."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = ({}, {})
+    return _built[key]
+
+
 def map_values(entries: DataFrame, areas: DataFrame, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """``entry_id``, ``area_id`` (0: none) of every entry that needs mapping."""
     rows = wanted(entries, areas)
@@ -316,36 +346,44 @@ def map_values(entries: DataFrame, areas: DataFrame, most_entries: int = MOST_EN
     by_city: dict[str, list[tuple]] = {}
     for r in sorted(head, key=lambda r: r.area_id):
         by_city.setdefault(r.city_code, []).append(tuple(r)[1:])
+    sent = entries.sparkSession.sparkContext.broadcast((by_city, names))
+    key = hashlib.sha256(repr(sorted(map(repr, head))).encode()).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cities: dict[str, City] = {}
-        memo: dict[tuple[str, str], int] = {}
+        listed, known = sent.value
+        cities, memo = _trees(key)
         for pdf in batches:
             got = []
             for city, value in zip(pdf.city, pdf.value):
                 if (city, value) not in memo:
-                    if city in by_city and city not in cities:
-                        cities[city] = City(by_city[city])
+                    if city in listed and city not in cities:
+                        cities[city] = City(listed[city])
                     if len(memo) > 500_000:
                         memo.clear()
-                    memo[city, value] = decide(cities[city].winners(value), names) if city in cities else 0
+                    memo[city, value] = decide(cities[city].winners(value), known) if city in cities else 0
                 got.append(memo[city, value])
             yield pd.DataFrame({"entry_id": pdf.entry_id, "area_id": pd.array(got, dtype="int64")})
 
     return rows.mapInPandas(run, "entry_id bigint, area_id bigint")
 
 
-def shard_winners(rows: DataFrame, areas: DataFrame, salts: int = SALTS) -> DataFrame:
-    """For a large reference list: winners per value and shard. A hot city is spread over ``salts`` tasks."""
-    left = rows.withColumn("salt", F.pmod(F.xxhash64("entry_id"), F.lit(salts)).cast("int"))
-    right = areas.select("city_code", *COLUMNS).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def shard_winners(rows: DataFrame, areas: DataFrame, shard_entries: int = SHARD_ENTRIES, group_values: int = GROUP_VALUES) -> DataFrame:
+    """For a large reference list: ``city``, ``value``, ``distance``, ``area_id``, ``word`` of the winners of every distinct value in every shard of its
+    city's list. A city of many entries has several shards, one of many values several groups for each."""
+    values = rows.where("city IS NOT NULL").select("city", "value").distinct()
+    parts = lambda most: F.ceil(F.count("*") / most).cast("int")
+    shards = areas.where("city_code IS NOT NULL").groupBy(F.col("city_code").alias("city")).agg(parts(shard_entries).alias("shards"))
+    sizes = broadcast_if_small(shards.join(values.groupBy("city").agg(parts(group_values).alias("groups")), "city"))
+    left = values.join(sizes, "city").select("city", "value", F.pmod(F.xxhash64("value"), F.col("groups")).cast("int").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    right = areas.withColumnRenamed("city_code", "city").join(sizes, "city").select("city", *COLUMNS, F.pmod(F.xxhash64("area_id"), F.col("shards")).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"))
 
-    def run(values: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
-        city = City(sorted(listed[COLUMNS].astype(object).itertuples(index=False, name=None))) if len(listed) else None
-        out = [(e, *w) for e, v in zip(values.entry_id, values.value) for w in (city.winners(v) if city else [])]
-        return pd.DataFrame(out, columns=["entry_id", "distance", "area_id", "word"]).astype({"entry_id": "int64", "distance": "int32", "area_id": "int64"})
+    def run(mine: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
+        city = City(sorted(listed[COLUMNS].astype(object).where(listed[COLUMNS].notna(), None).itertuples(index=False, name=None), key=lambda r: r[0])) if len(listed) else None
+        out = [(c, v, *w) for c, v in zip(mine.city, mine.value) for w in (city.winners(v) if city else [])]
+        return pd.DataFrame(out, columns=["city", "value", "distance", "area_id", "word"]).astype({"distance": "int32", "area_id": "int64"})
 
-    return left.groupBy("city", "salt").cogroup(right.groupBy("city_code", "salt")).applyInPandas(run, "entry_id bigint, distance int, area_id bigint, word string")
+    by = ["city", "shard", "grp"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, "city string, value string, distance int, area_id bigint, word string")
 
 
 def merge(winners: DataFrame, rows: DataFrame, areas: DataFrame) -> DataFrame:
@@ -356,21 +394,20 @@ def merge(winners: DataFrame, rows: DataFrame, areas: DataFrame) -> DataFrame:
         return s.map(base_names, na_action="ignore")
 
     listed = areas.where("name IS NOT NULL").select(F.explode(forms("name")).alias("word")).distinct().withColumn("listed", F.lit(True))
+    flagged = winners.join(listed, "word", "left")
     best = (
-        winners.groupBy("entry_id", "distance")
-        .agg(F.min("area_id").alias("area_id"), F.count_distinct("area_id").alias("n"), F.min("word").alias("word"))
-        .groupBy("entry_id")
-        .agg(F.min_by(F.struct("area_id", "n", "word", "distance"), "distance").alias("w"))
-        .select("entry_id", "w.*")
-        .join(listed, "word", "left")
+        flagged.groupBy("city", "value", "distance")
+        .agg(F.min("area_id").alias("area_id"), F.count_distinct("area_id").alias("n"), F.max("listed").alias("listed"))
+        .groupBy("city", "value")
+        .agg(F.min_by(F.struct("area_id", "n", "listed"), "distance").alias("w"))
+        .where("w.n = 1 AND w.listed IS NULL")
+        .select("city", "value", F.col("w.area_id").alias("area_id"))
     )
-    good = (F.col("n") == 1) & F.col("listed").isNull()
-    return rows.select("entry_id").join(best, "entry_id", "left").select("entry_id", F.when(good, F.col("area_id")).otherwise(F.lit(0)).cast("bigint").alias("area_id"))
+    return left_join_dimension(rows, best, ["city", "value"], F.col("entry_id")).select("entry_id", F.coalesce("area_id", F.lit(0)).cast("bigint").alias("area_id"))
 
 
 def mapped(entries: DataFrame, areas: DataFrame) -> DataFrame:
     """Every mapped entry with the canonical name and its codes: ``entry_id``, ``s_name``, ``area_id``, ``name``, ``key_codes``."""
-    from tallyspan.session import broadcast_if_small
 
     found = map_values(entries, areas).where("area_id > 0")
     return found.join(broadcast_if_small(areas.select("area_id", "name", "key_codes")), "area_id").join(entries.select("entry_id", "s_name"), "entry_id").select("entry_id", "s_name", "area_id", "name", "key_codes")

@@ -9,7 +9,9 @@ Signs that no correct text has (replacement character, C1 controls, private-use
 where nothing can be restored. Correct text in rare or foreign characters, in half-width kana or with variant kanji is no case.
 
 Defined results: null or empty text is no case and stays; very long texts are handled in one linear pass per encoding pair; repeated
-texts are judged once per batch; text read wrongly twice is undone twice (up to ``ROUNDS``); extra columns are ignored.
+texts are judged once per batch; text read wrongly several times is undone until nothing changes; extra columns are ignored.
+
+Text of nothing but ordinary characters is recognised by one table in the JVM and never reaches Python.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS = 3
 SINGLE = ["cp1252", "mac_roman", "cp437"]
 DOUBLE = ["cp932", "gbk", "euc_jp", "big5", "euc_kr"]
 #: Which right encodings are tried for text wrongly read as the key.
@@ -87,7 +88,7 @@ class Restorer:
 
     def __init__(self, native: str = "", known: tuple[str, ...] = ()):
         self.plain = ordinary() | frozenset(native) | frozenset("".join(known))
-        self.pairs = {k[i : i + 2] for k in known for i in range(len(k) - 1)}
+        self.pairs = frozenset(k[i : i + 2] for k in known for i in range(len(k) - 1))
         body = "".join(re.escape(c) for c in sorted(self.plain))
         self.all_plain = re.compile(f"[{body}ｦ-ﾟ]*")
         self.fast = re.compile(f"[{body}]*")
@@ -107,11 +108,9 @@ class Restorer:
         return self.memo[text]
 
     def _judge(self, text: str) -> tuple[str | None, bool]:
-        now = text
-        for _ in range(ROUNDS):
-            after = self._once(now)
-            if after == now:
-                break
+        now, seen = text, {text}
+        while (after := self._once(now)) not in seen:
+            seen.add(after)
             now = after
         case = now != text or bool(MARKS.search(text)) or self._cut_off(text)
         return (now if now != text else None), case
@@ -258,8 +257,6 @@ def judge_col(c: Column, native: str = "", known: tuple[str, ...] = ()) -> Colum
 
 #: Values of the charge column that stand for the known character pairs (fixed domain values).
 CHARGES = ("窃盗", "窃盗（未遂）", "窃盗未遂（自転車）", "窃盗（部品ねらい）", "占有離脱物横領")
-#: Reference names beyond this number are not sent to the workers; the operator then runs without them.
-MOST_NAMES = 50_000
 
 
 def texts(incidents: DataFrame, boundary: DataFrame) -> DataFrame:
@@ -268,12 +265,25 @@ def texts(incidents: DataFrame, boundary: DataFrame) -> DataFrame:
     )
 
 
+def known_pairs(areas: DataFrame) -> tuple[str, ...]:
+    """Every character of the reference names with its neighbour, and names of one character. Distinct pairs are what is collected, all of them: their
+    number is bounded by the alphabet, not by the list."""
+    names = areas.select(F.explode(F.array("name", "key")).alias("x")).where("x <> ''")
+    pairs = names.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("x") - 1, F.lit(1))), lambda i: F.substring(F.col("x"), i, F.lit(2)))).alias("p"))
+    return tuple(sorted(r.p for r in pairs.distinct().collect()))
+
+
+def suspicious(c: Column, known: tuple[str, ...]) -> Column:
+    """Whether ``c`` holds anything but ordinary and known characters, or what could be an escape sequence."""
+    plain = "".join(sorted(ordinary() | frozenset("".join(known))))
+    return (F.translate(c, plain, "") != "") | c.contains("$B") | c.contains("$@")
+
+
 def judged(incidents: DataFrame, boundary: DataFrame, areas: DataFrame) -> DataFrame:
-    """``src``, ``row_id``, ``value``, ``text``, ``garbled`` of every non-null text; the town names of the fixed list ``areas`` are known."""
-    names = tuple(sorted({x for r in areas.select("name", "key").limit(MOST_NAMES + 1).collect() for x in r if x}))
-    names = names if len(names) <= 2 * MOST_NAMES else ()
-    rows = texts(incidents, boundary).where(F.coalesce(F.col("value"), F.lit("")) != "")
-    return rows.withColumn("j", judge_col(F.col("value"), known=(*CHARGES, *names))).select("src", "row_id", "value", "j.text", "j.garbled")
+    """``src``, ``row_id``, ``value``, ``text``, ``garbled`` of every text that is not plainly in order; the town names of ``areas`` are known."""
+    known = (*CHARGES, *known_pairs(areas))
+    rows = texts(incidents, boundary).where(suspicious(F.col("value"), known))
+    return rows.withColumn("j", judge_col(F.col("value"), known=known)).select("src", "row_id", "value", "j.text", "j.garbled")
 
 
 def found(incidents: DataFrame, boundary: DataFrame, areas: DataFrame) -> DataFrame:

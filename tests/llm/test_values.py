@@ -135,3 +135,39 @@ def test_rows_of_both_tables(spark):
     assert sorted(tuple(r) for r in mojibake.found(inc, bnd, areas).collect()) == [("boundary", 8), ("incidents", 2), ("incidents", 2), ("incidents", 5)]
     assert {r.restored for r in mojibake.restored(inc, bnd, areas).collect()} == {"鶯見", "窃盗", None}
     assert mojibake.found(inc.where("false"), bnd.where("false"), areas.where("false")).count() == 0
+
+
+def test_names_of_any_length_and_real_shards(spark):
+    long = "あ" * 20 + "鷺沼" * 40
+    areas = [(1, "c", "市", "県", long, long, None), (2, "c", "市", "県", "鷺野町", "鷺野町", None), (3, "c", "市", "県", "鷺田町", "鷺田町", None), (4, "d", "市", "県", "桜町", "桜町", None)] + [(10 + i, "c", "市", "県", f"甲{chr(0x4E8C + i)}通", None, None) for i in range(40)]
+    listed = spark.createDataFrame(areas, "area_id bigint, city_code string, city_name string, pref string, name string, key string, yomi string")
+    values = [long[:-1] + "野", long + "鷺鷺鷺", "鷺町", "鷺野町付近", "県市鷺野町", "桜町", "山" * 200_000, "*" * 100_000 + "山", "(" * 100_000]
+    rows = [(i, "c", v) for i, v in enumerate(values)] + [(100 + i, "c", "鷺野長") for i in range(60)] + [(900, None, "鷺野町"), (901, "e", "鷺野町")]
+    entries = spark.createDataFrame(rows, "entry_id bigint, city_code string, s_name string")
+    small = {r.entry_id: r.area_id for r in canonical.map_values(entries, listed).collect()}
+    assert [small[i] for i in range(6)] == [1, 0, 0, 2, 2, 0] and small[6] == small[7] == small[8] == small[900] == small[901] == 0 and small[100] == 2
+    want = canonical.wanted(entries, listed)
+    winners = canonical.shard_winners(want, listed, 7, 3)
+    assert {r.entry_id: r.area_id for r in canonical.merge(winners, want, listed).collect()} == small
+
+
+def test_banded_distance_is_the_full_one():
+    rnd = __import__("random").Random(5)
+    word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 9)))
+    for _ in range(3000):
+        a, b = word(), word()
+        full = canonical.distance(a, b, len(a) + len(b) + 1)
+        for most in range(5):
+            got = canonical.distance(a, b, most)
+            assert got == full if full <= most else got > most
+
+
+def test_long_lists_of_names_still_decide_lossy_damage(spark):
+    names = [(f"甲{chr(0x4E00 + i)}", None) for i in range(600)] + [("鷺野", "鷺野")] * 3
+    areas = spark.createDataFrame(names, "name string, key string")
+    assert len(mojibake.known_pairs(areas)) == 601
+    bad = "鷺野".encode().decode("cp932", "ignore")
+    boundary = spark.createDataFrame([(1, bad), (2, "鷺野"), (3, None), (4, "鷺野".encode().decode("cp1252", "replace").encode("utf-8").decode("cp1252", "replace"))], "rec_no bigint, s_name string")
+    incidents = spark.createDataFrame([(1, "窃盗"), (2, "$B@`Ep")], "row_id bigint, `罪名` string")
+    got = {(r.src, r.row_id) for r in mojibake.found(incidents, boundary, areas).collect()}
+    assert ("boundary", 1) in got and ("boundary", 4) in got and ("boundary", 2) not in got and ("incidents", 1) not in got
