@@ -26,9 +26,9 @@ from tallyspan.session import broadcast_if_small
 
 #: Groups of characters drawn alike, each folded to its first (fixed values).
 ALIKE = [
-    "一ー−–—―‐‑‒─━⎯-ｰ㇐", "二ニ", "三Ξミ"[:1], "八ハ", "口ロ囗", "工エ", "夕タ", "力カ", "卜ト", "丿ノ⼃", "才オ", "又ヌ", "厶ム", "ヘへ", "リり", "ペぺ"[:1],
-    "lI1|ӏӀІΙ∣ⅼⅠǀ", "O0ОΟ〇○"[:4], "oоοօ", "AАΑ", "BВΒ", "CСϹ", "EЕΕ", "HНΗ", "JЈ", "KКΚK", "MМΜ", "NΝ", "PРΡ", "SЅ", "TТΤ", "XХΧ", "YҮΥ", "ZΖ",
-    "aаɑα", "cсϲ", "eе", "iіι", "jј", "pрρ", "sѕ", "xх", "yуү", "vνѵ", "nո", "uս", "hһ", "dԁ", "qԛ", "wԝ", "tт"[:1], "rг"[:1], "gɡ",
+    "一ー−–—―‐‑‒─━⎯-ｰ㇐", "二ニ", "八ハ", "口ロ囗", "工エ", "夕タ", "力カ", "卜ト", "丿ノ⼃", "才オ", "又ヌ", "厶ム", "ヘへ", "リり", 
+    "lI1|ӏӀІΙ∣ⅼⅠǀ", "O0ОΟ", "oоοօ", "AАΑ", "BВΒ", "CСϹ", "EЕΕ", "HНΗ", "JЈ", "KКΚK", "MМΜ", "NΝ", "PРΡ", "SЅ", "TТΤ", "XХΧ", "YҮΥ", "ZΖ",
+    "aаɑα", "cсϲ", "eе", "iіι", "jј", "pрρ", "sѕ", "xх", "yуү", "vνѵ", "nո", "uս", "hһ", "dԁ", "qԛ", "wԝ", "gɡ",
 ]
 #: CJK radical supplements drawn as the unified ideograph (fixed values; the Kangxi radicals follow from their decomposition).
 RADICALS = dict(zip("⻄⻑⻘⻝⻤⻩⻨⻫⻯⻲⺁⺇⺎⺟⺠⺩⻁⻃⻆⻋⻙⻚⻛⻜⻢⻣⻥⻦⻧⻬⻭⻮⻰⻳", "西長青食鬼黄麦斉竜亀厂几兀母民王虎覀角车韦页风飞马骨鱼鸟卤齐歯齿龙龟"))
@@ -52,7 +52,8 @@ def tables() -> tuple[dict[int, str], dict[int, str], re.Pattern]:
     """Width, blank and invisible foldings; look-alike foldings; the pattern of segments to normalize."""
     fold: dict[int, str] = {}
     quick_no = set()
-    for cp in (*range(0x80, 0xD800), *range(0xE000, 0x10000), *range(0x1D400, 0x1D800), *range(0xE0000, 0xE0200), *range(0x1F100, 0x1F200)):
+    # every code point but ideographs, hangul syllables, surrogates, private use and the planes that hold no characters: these are stable
+    for cp in (*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x17000), *range(0x1AFF0, 0x20000), *range(0xE0000, 0xE1000)):
         ch = chr(cp)
         if _ideograph(cp):
             continue

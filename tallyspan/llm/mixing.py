@@ -5,8 +5,9 @@ sources cannot give is shared among the others in proportion to their weights, s
 of a source stand in a hashed order; a document's repeats are the whole passes over the source plus one more if it lies before the end of
 the last, partial pass.
 
-The share of a source over training time is ``w * (1 + tilt * (2t - 1))``. Its integral is the cumulative demand; inverting it turns
-a document's place in its source into a training position, by which the selection is range-sorted.
+Every source has a weight schedule, piecewise linear over training time. Its integral is the source's cumulative demand; inverting it turns a
+document's place in its source into a training position, by which the selection is range-sorted. Without a schedule of the caller's the
+curriculum comes from the input: sources of short documents first, of long ones later.
 
 The running token sum of a source is two-level: sums per hash bucket (``2 ** BUCKET_BITS`` for each source), then within a bucket, so
 a source with a third of all rows is never in one task. Documents are tokenized once, into a narrow checkpoint.
@@ -19,6 +20,7 @@ corpus gives an empty selection; documents posted twice under other ids are docu
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,10 +31,22 @@ from tallyspan.session import broadcast_if_small, cut, spread
 
 VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A long run of white-space, which the pattern takes as one piece without its last character if anything follows; matching it would need deep backtracking.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 BUCKET_BITS = 16
 SEED = 17
-#: Longer texts are tokenized piece by piece, cut at line breaks or else at this length.
-PIECE = 100_000
+#: How far the default curriculum bends a source's weight: from ``1 - STRENGTH`` to ``1 + STRENGTH`` for the shortest and the longest.
+STRENGTH = 0.8
+
+
+def count_tokens(enc, text: str) -> int:
+    """Tokens of the whole text. Long runs of white-space, pieces of their own by the pattern, are encoded as such; nothing else is cut."""
+    n = at = 0
+    for m in LONG_BLANK.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(enc.encode_ordinary(text[at : m.start()])) + len(enc._encode_single_piece(text[m.start() : end]))
+        at = end
+    return n + len(enc.encode_ordinary(text[at:] if at else text))
 
 
 def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -44,37 +58,42 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
 
         enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=load_tiktoken_bpe(vocabulary), special_tokens={})
 
-        def count(text: str) -> int:
-            if len(text) <= PIECE:
-                return len(enc.encode_ordinary(text))
-            return sum(len(enc.encode_ordinary(line[i : i + PIECE])) for line in text.splitlines(keepends=True) for i in range(0, len(line), PIECE))
-
         for pdf in batches:
-            n = [count(t) if isinstance(t, str) else 0 for t in pdf.text]
+            n = [count_tokens(enc, t) if isinstance(t, str) else 0 for t in pdf.text]
             yield pd.DataFrame({"doc_id": pdf.doc_id, "source": pdf.source, "n_tokens": pd.array(n, dtype="int64")})
 
     return spread(documents.where("doc_id IS NOT NULL").select("doc_id", "source", "text")).mapInPandas(run, "doc_id bigint, source string, n_tokens bigint")
 
 
+def fill(shares: list[float], caps: list[float], total: float) -> list[float]:
+    """Water-filling: the level at which ``sum(min(level * share, cap))`` is ``total`` (all caps if it cannot be), as a demand for each."""
+    out, left, rest = [0.0] * len(shares), total, 1.0
+    for k in sorted(range(len(shares)), key=lambda k: caps[k] / shares[k]):
+        out[k] = max(0.0, min(caps[k], left * shares[k] / rest if rest > 1e-12 else left))
+        left, rest = left - out[k], rest - shares[k]
+    return out
+
+
 def demands(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """``mix``, ``source``, ``share``, ``available``, ``cap``, ``wanted`` and ``demand`` in tokens. ``sizes``: tokens per source, null source included."""
+    """``mix``, ``source``, ``share``, ``available``, ``cap``, ``max_repeats``, ``wanted``, ``demand`` in tokens and ``mean_size`` of a source's documents. ``sizes``:
+    tokens (``available``) and documents (``n_docs``) per source, null source included. A mix is one group of as many rows as it names sources."""
     clean = targets.where((F.col("weight") > 0) & F.col("mix").isNotNull() & F.col("source").isNotNull())
     t = clean.groupBy("mix", "source").agg(F.sum("weight").alias("weight"), F.max("max_repeats").alias("max_repeats"), F.max("size_factor").alias("size_factor"))
-    whole = sizes.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("corpus"))
-    mix = Window.partitionBy("mix")
-    t = t.withColumn("share", F.col("weight") / F.sum("weight").over(mix)).join(sizes, "source", "left").crossJoin(F.broadcast(whole))
-    t = t.withColumn("available", F.coalesce("available", F.lit(0))).withColumn("total", F.max("size_factor").over(mix) * F.col("corpus")).withColumn("cap", F.col("available") * F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0)))
-    # the level at which sum(min(level * share, cap)) is the total: sources in the order in which they hit their cap
-    by_cap = Window.partitionBy("mix").orderBy(F.col("cap") / F.col("share"), "source")
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))) / (1 - F.least(F.coalesce(F.sum("share").over(before), F.lit(0.0)), F.lit(1 - 1e-12))))
-    free = F.col("level") * F.col("share") <= F.col("cap")
-    first = F.min(F.when(free, F.struct((F.col("cap") / F.col("share")).alias("ratio"), "source", "level"))).over(mix)
-    t = t.withColumn("at", first["level"])
-    return t.select(
-        "mix", "source", "share", "available", "cap", "max_repeats", (F.col("share") * F.col("total")).alias("wanted"),
-        F.greatest(F.least(F.coalesce(F.col("at") * F.col("share"), F.col("cap").cast("double")), F.col("cap").cast("double")), F.lit(0.0)).alias("demand"),
-    )
+    corpus = sizes.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("corpus"))
+    t = t.join(sizes.where("source IS NOT NULL"), "source", "left").crossJoin(F.broadcast(corpus))
+
+    def levels(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("source")
+        share = (pdf.weight / pdf.weight.sum()).tolist()
+        available = pdf.available.fillna(0).astype("int64")
+        cap = available * pdf.max_repeats.fillna(1).clip(lower=0).astype("int64")
+        size = pdf.size_factor.max()
+        total = (0.0 if pd.isna(size) else float(size)) * int(pdf.corpus.iloc[0])
+        docs = pdf.n_docs.fillna(0)
+        return pd.DataFrame({"mix": pdf.mix, "source": pdf.source, "share": share, "available": available, "cap": cap, "max_repeats": pdf.max_repeats.astype("Int32"), "wanted": [x * total for x in share],
+                             "demand": fill(share, cap.tolist(), total), "mean_size": [a / n if n else 0.0 for a, n in zip(available, docs)]})
+
+    return t.groupBy("mix").applyInPandas(levels, "mix string, source string, share double, available bigint, cap bigint, max_repeats int, wanted double, demand double, mean_size double")
 
 
 def placed(tokens: DataFrame) -> DataFrame:
@@ -87,32 +106,67 @@ def placed(tokens: DataFrame) -> DataFrame:
     return rows.join(offset, ["source", "bucket"]).withColumn("place", F.col("offset") + F.sum("n_tokens").over(inside) - F.col("n_tokens") / 2).select("doc_id", "source", "n_tokens", "place")
 
 
-def position(done: Column, tilt: Column) -> Column:
-    """Training time at which a source's cumulative demand ``t + tilt * (t*t - t)`` reaches the part ``done`` of it."""
-    b = 1 - tilt
-    root = (-b + F.sqrt(F.greatest(b * b + 4 * tilt * done, F.lit(0.0)))) / (2 * tilt)
-    return F.when(F.abs(tilt) < 1e-9, done).otherwise(F.least(F.greatest(root, F.lit(0.0)), F.lit(1.0)))
-
-
-def tilts(wanted: DataFrame, late: dict[str, float]) -> DataFrame:
-    """``tilt`` per mix and source, centred so that the shares sum to 1 at every moment and bounded so that none is negative."""
-    raw = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in late.items() for x in kv]), F.col("source")), F.lit(0.0)) if late else F.lit(0.0)
+def straight(wanted: DataFrame, tilt: Column) -> DataFrame:
+    """``mix``, ``source``, ``knots`` of straight lines with the given tilts (-1: all at the start, 1: all at the end), centred by demand so that training
+    goes on at an even pace, and bounded so that no weight is negative."""
     mix = Window.partitionBy("mix")
-    t = wanted.withColumn("raw", raw.cast("double"))
+    t = wanted.withColumn("raw", tilt.cast("double"))
     t = t.withColumn("raw", F.col("raw") - F.sum(F.col("raw") * F.col("demand")).over(mix) / F.greatest(F.sum("demand").over(mix), F.lit(1.0)))
-    return t.withColumn("tilt", F.col("raw") / F.greatest(F.max(F.abs(F.col("raw"))).over(mix), F.lit(1.0))).drop("raw")
+    t = t.withColumn("tilt", F.col("raw") / F.greatest(F.max(F.abs(F.col("raw"))).over(mix), F.lit(1.0)))
+    return t.select("mix", "source", F.array(F.struct(F.lit(0.0).alias("t"), (1 - F.col("tilt")).alias("w")), F.struct(F.lit(1.0).alias("t"), (1 + F.col("tilt")).alias("w"))).alias("knots"))
+
+
+def curriculum(wanted: DataFrame, strength: float = STRENGTH) -> DataFrame:
+    """The default schedule, from the input itself: sources of a mix ranked by the mean size of their documents, short ones first."""
+    by_size = Window.partitionBy("mix").orderBy("mean_size", "source")
+    return straight(wanted, strength * (2 * F.percent_rank().over(by_size) - 1))
+
+
+def tilted(wanted: DataFrame, late: dict[str, float]) -> DataFrame:
+    """The schedule of a caller's tilts per source, 0 for the others."""
+    return straight(wanted, F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in late.items() for x in kv]), F.col("source")), F.lit(0.0)) if late else F.lit(0.0))
+
+
+def segments(schedule: DataFrame) -> DataFrame:
+    """``mix``, ``source``, ``segs`` of a piecewise linear weight schedule (``knots`` of ``t``, ``w`` in order): per segment its begin ``t0`` and length ``dt``, weights
+    ``w0``, ``w1``, and the integral before it (``c0``) and of it (``c``) as parts of the whole. A schedule without weight is an even one."""
+    area = lambda a, b: (b["t"] - a["t"]) * (a["w"] + b["w"]) / 2
+    k = F.col("knots")
+    pieces = F.transform(F.sequence(F.lit(0), F.size(k) - 2), lambda i: F.struct(F.get(k, i)["t"].alias("t0"), (F.get(k, i + 1)["t"] - F.get(k, i)["t"]).alias("dt"), F.get(k, i)["w"].alias("w0"), F.get(k, i + 1)["w"].alias("w1"), area(F.get(k, i), F.get(k, i + 1)).alias("a")))
+    whole = F.aggregate(pieces, F.lit(0.0), lambda acc, p: acc + p["a"])
+    even = F.array(F.struct(F.lit(0.0).alias("t0"), F.lit(1.0).alias("dt"), F.lit(1.0).alias("w0"), F.lit(1.0).alias("w1"), F.lit(1.0).alias("a")))
+    s = schedule.withColumn("p", pieces).withColumn("whole", whole).withColumn("p", F.when(F.col("whole") > 0, F.col("p")).otherwise(even)).withColumn("whole", F.when(F.col("whole") > 0, F.col("whole")).otherwise(1.0))
+    before = lambda i: F.aggregate(F.slice("p", F.lit(1), i), F.lit(0.0), lambda acc, x: acc + x["a"])
+    return s.select("mix", "source", F.transform("p", lambda p, i: F.struct(p["t0"].alias("t0"), p["dt"].alias("dt"), p["w0"].alias("w0"), p["w1"].alias("w1"), (before(i) / F.col("whole")).alias("c0"), (p["a"] / F.col("whole")).alias("c"))).alias("segs"))
+
+
+def position(done: Column, segs: Column) -> Column:
+    """Training time at which a source's cumulative demand reaches the part ``done`` of it: the segment whose integral holds it, and in the segment the
+    root of ``w0 x + (w1 - w0) x x / 2`` for the rest."""
+    inside = F.filter(segs, lambda p: p["c"] > 0)
+    p = F.coalesce(F.get(F.filter(inside, lambda p: p["c0"] + p["c"] >= done), F.lit(0)), F.element_at(inside, -1))
+    mean = (p["w0"] + p["w1"]) / 2
+    y = F.least(F.greatest((done - p["c0"]) / p["c"], F.lit(0.0)), F.lit(1.0)) * mean
+    slope = (p["w1"] - p["w0"]) / 2
+    root = F.try_divide(2 * y, p["w0"] + F.sqrt(F.greatest(p["w0"] * p["w0"] + 4 * slope * y, F.lit(0.0))))
+    return F.least(F.greatest(p["t0"] + p["dt"] * F.least(F.greatest(F.coalesce(root, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)), F.lit(0.0)), F.lit(1.0))
 
 
-def mixed(documents: DataFrame, targets: DataFrame, late: dict[str, float] | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    """Selection (one row per use of a document) and demands."""
+def mixed(documents: DataFrame, targets: DataFrame, late: dict[str, float] | None = None, vocabulary: str = VOCABULARY, schedule: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Selection (one row per use of a document) and demands. ``schedule`` (``mix``, ``source``, ``knots``) or ``late`` replace the default curriculum; a source that
+    the schedule does not name comes evenly."""
     tokens = cut(token_counts(documents, vocabulary))
-    sizes = tokens.groupBy("source").agg(F.sum("n_tokens").alias("available"))
-    wanted = tilts(demands(sizes, targets), late or {})
-    uses = placed(tokens).join(broadcast_if_small(wanted.where("demand > 0")), "source")
+    sizes = tokens.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count_if(F.col("n_tokens") > 0).alias("n_docs"))
+    wanted = cut(demands(sizes, targets))  # a row per mix and source, read by three branches
+    if schedule is None:
+        schedule = curriculum(wanted) if late is None else tilted(wanted, late)
+    plan = wanted.where("demand > 0").join(segments(schedule), ["mix", "source"], "left")
+    even = F.array(F.struct(F.lit(0.0).alias("t0"), F.lit(1.0).alias("dt"), F.lit(1.0).alias("w0"), F.lit(1.0).alias("w1"), F.lit(0.0).alias("c0"), F.lit(1.0).alias("c")))
+    uses = placed(tokens).join(broadcast_if_small(plan.withColumn("segs", F.coalesce("segs", even))), "source")
     n = F.least(F.floor((F.col("demand") - F.col("place")) / F.col("available")) + 1, F.coalesce("max_repeats", F.lit(1)))
     uses = uses.withColumn("n_uses", n.cast("int")).where("n_uses > 0").withColumn("use_no", F.explode(F.sequence(F.lit(1), F.col("n_uses"))))
     done = F.least((F.col("place") + (F.col("use_no") - 1) * F.col("available")) / F.col("demand"), F.lit(1.0))
-    return uses.select("mix", position(done, F.col("tilt")).alias("position"), "doc_id", "use_no", "source", "n_tokens"), wanted
+    return uses.select("mix", position(done, F.col("segs")).alias("position"), "doc_id", "use_no", "source", "n_tokens"), wanted
 
 
 def selection(documents: DataFrame, targets: DataFrame, late: dict[str, float] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:

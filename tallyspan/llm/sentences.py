@@ -1,8 +1,9 @@
 """Sentence boundaries across languages and scripts.
 
-A pushdown automaton runs over each text once. Its stack holds open quotations and brackets (an opener without partner is never
-pushed); stops inside them end nothing, what follows a closed quotation decides whether it ends a sentence. Line level comes first:
-blank lines, list marks, headings and lines that stand alone cut blocks, line breaks of wrapped text do not. Stops are judged by a trie of
+A pushdown automaton runs over each text. One stack holds open quotations and brackets (an opener without partner counts as text);
+stops inside them end nothing, what follows a closed quotation decides whether it ends a sentence. Another holds the open list levels: a
+line indented below an item's mark goes on with it. Line level comes first: blank lines, list marks, headings and lines that stand alone
+cut blocks, line breaks of wrapped text do not. Stops are judged by a trie of
 abbreviations, by the case and script of what follows, and by the terminators of each script; Thai ends sentences at spaces.
 
 Offsets are code points; sentences have no white-space at either end and cover everything else.
@@ -34,6 +35,7 @@ LEADING = re.compile(r"(?<=[。｡！？।॥؟۔．])[…‥]+\Z")
 PAIRED = re.compile(r"[「」『』（）()【】〈〉《》“”«»„｢｣\[\]［］〔〕‹›﹁﹂〝〟\"]")
 SAYS_AFTER = re.compile(r"と(?:いう|言|聞|問|思|叫|書|答|話|呼|の)|って")
 WORD = re.compile(r"\S+")
+ALNUM = re.compile(r"[^\W_]")
 LIST_MARK = re.compile(r"\s*(?:[・‣•※■□●○◆◇▪▶►★☆◎→]|[-–—*+](?=\s)|[①-⑳❶-❿㈠-㈩]|\(\d{1,3}\)|（\d{1,3}）|（[一二三四五六七八九十]{1,3}）|\d{1,3}[.)](?=\s)|\d{1,3}[）、．](?![\d０-９])|[a-zA-Z]\)(?=\s)|[一二三四五六七八九十]{1,3}、|#{1,6}\s|【)")
 KANA = re.compile(r"[぀-ヿｦ-ﾟ]")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ가-힣]")
@@ -88,33 +90,76 @@ class Trie:
 ABBREVIATIONS = Trie(NEVER, "never").add(MAYBE, "maybe")
 
 
+class Stack:
+    """The automaton's stack of open quotations and brackets. ``partner`` fills as closers come: opener → its closer. A closer shuts the nearest opener
+    of its kind and drops what was opened inside it; whether there is such an opener is known from counts, so that a closer without one costs
+    nothing and every opener is pushed and dropped once."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[int, str]] = []
+        self.count: dict[str, int] = {}
+        self.partner: dict[int, int] = {}
+
+    def push(self, i: int, ends: str) -> None:
+        self.open.append((i, ends))
+        for c in ends:
+            self.count[c] = self.count.get(c, 0) + 1
+
+    def close(self, i: int, ch: str) -> bool:
+        """Whether ``ch`` at ``i`` shuts something."""
+        if not self.count.get(ch):
+            return False
+        while True:
+            at, ends = self.open.pop()
+            for c in ends:
+                self.count[c] -= 1
+            if ch in ends:
+                self.partner[at] = i
+                return True
+
+    def read(self, i: int, ch: str) -> None:
+        top = self.open[-1][1] if self.open else ""
+        if ch == '"':  # straight marks open and shut alternately
+            if not self.close(i, ch):
+                self.push(i, ch)
+        elif ch in top:
+            self.close(i, ch)
+        elif ch in OPEN and ch not in CLOSE or ch == "“":
+            self.push(i, OPEN.get(ch, ""))
+        else:
+            self.close(i, ch)
+
+
+class Levels:
+    """The automaton's stack of list levels: the indents of the marks that are open. A line without a mark that is indented deeper than the last one, by
+    two blanks at least, goes on with its item (an ideographic space begins a paragraph instead); a mark shuts the levels that are not above it, a blank line or an unmarked line at the margin shuts all it leaves."""
+
+    def __init__(self) -> None:
+        self.open: list[int] = []
+
+    def read(self, text: str, a: int, b: int, joined: bool) -> bool:
+        """Whether the line ``text[a:b]`` goes on with an open item."""
+        indent = a
+        while indent < b and text[indent] in " \t":
+            indent += 1
+        plain = text[indent : indent + 1] != "\u3000"
+        indent -= a
+        if not joined:
+            self.open.clear()
+        while self.open and indent <= self.open[-1]:
+            self.open.pop()
+        if LIST_MARK.match(text, a, b):
+            self.open.append(indent)
+            return False
+        return bool(self.open) and plain and indent >= self.open[-1] + 2
+
+
 def _partners(text: str, a: int, b: int) -> dict[int, int]:
     """Openers of ``text[a:b]`` that have a partner → position of the partner."""
-    out: dict[int, int] = {}
-    stack: list[int] = []
-    straight = None
+    stack = Stack()
     for m in PAIRED.finditer(text, a, b):
-        i, ch = m.start(), m.group()
-        if ch == '"':
-            if straight is not None and straight in stack:
-                del stack[stack.index(straight) :]
-                out[straight] = i
-                straight = None
-            else:
-                straight = i
-                stack.append(i)
-            continue
-        if stack and ch in OPEN.get(text[stack[-1]], ""):
-            out[stack.pop()] = i
-        elif ch in OPEN and ch not in CLOSE or ch == "“":
-            stack.append(i)
-        else:  # a closer: it may close something further down, whose inner openers have no partner
-            for k in range(len(stack) - 1, -1, -1):
-                if ch in OPEN.get(text[stack[k]], ""):
-                    out[stack[k]] = i
-                    del stack[k:]
-                    break
-    return out
+        stack.read(m.start(), m.group())
+    return stack.partner
 
 
 def _begins(text: str, k: int) -> bool:
@@ -132,6 +177,8 @@ class _Block:
         self.t, self.a, self.b = text, a, b
         self.partner = _partners(text, a, b)
         self.kana = bool(KANA.search(text, a, b))
+        self.quoted = [-1, -1, True]  # from where, up to where, and whether there can be nothing but quotations
+        self.chain = (0, 0)  # quotations that follow each other: from the first seen to behind the last
 
     def skip(self, k: int) -> int:
         while k < self.b and self.t[k].isspace():
@@ -174,7 +221,11 @@ class _Block:
         return m.end()
 
     def alnum(self, a: int, b: int) -> bool:
-        return any(c.isalnum() for c in self.t[a:b])
+        return ALNUM.search(self.t, a, b) is not None
+
+    def number(self, a: int, b: int) -> bool:
+        """Nothing but one number and white-space; a number of a heading or list is short."""
+        return b - a < 64 and self.t[a:b].strip().isdigit()
 
     def thai_ends(self, s: int, i: int, j: int) -> bool:
         t = self.t
@@ -206,7 +257,7 @@ class _Block:
                 return False
             return True
         if run == "．":
-            if p.isdigit() and n.isdigit() and not spaced or self.starts_line(s) and t[s:i].strip().isdigit():
+            if p.isdigit() and n.isdigit() and not spaced or self.starts_line(s) and self.number(s, i):
                 return False
             return self.alnum(s, i) and not (p.isascii() and p.isalpha() and not spaced)
         if kinds <= {"…", "‥"} or len(run) > 1 and kinds <= {".", "…", "‥"}:
@@ -221,7 +272,7 @@ class _Block:
         t = self.t
         if not self.alnum(s, i):
             return False
-        if t[s:i].strip().isdigit() or len(t[s:i].strip()) == 1 and self.starts_line(s):
+        if self.number(s, i) or self.starts_line(s) and i - s < 64 and len(t[s:i].strip()) == 1:
             return False
         tag = ABBREVIATIONS.look(t, i, s)
         if not spaced:
@@ -279,10 +330,12 @@ class _Block:
                 return self.chain_ends(s, o, inner, j)
             if self.kana or KANA.match(n):
                 return not GOES_ON.match(t, j)
-            before = t[s:o].rstrip()
             if lead:
                 return not SAYS_ZH.match(t, j)
-            return before[-1:] in "：:，," and n not in "的等了"
+            e = o
+            while e > s and t[e - 1].isspace():
+                e -= 1
+            return t[s:e][-1:] in "：:，," and n not in "的等了" if e - s < 64 else t[e - 1] in "：:，," and n not in "的等了"
         if n.isupper() or n in "¿¡" or n in OPEN or n.isdigit():
             return lead or n not in OPEN
         if n.islower():
@@ -290,23 +343,31 @@ class _Block:
         return lead and spaced and not n.startswith("و") and not t.startswith("और", j)
 
     def only_quotes(self, s: int, o: int) -> bool:
-        """Everything between ``s`` and ``o`` is quotations."""
-        i = s
-        while i < o:
+        """Everything between ``s`` and ``o`` is quotations; goes on where it stopped for the same ``s``."""
+        if self.quoted[0] != s:
+            self.quoted = [s, s, True]
+        i = self.quoted[1]
+        while self.quoted[2] and i < o:
             if self.t[i].isspace():
                 i += 1
-            elif i in self.partner and self.partner[i] < o:
+            elif i in self.partner:
+                if self.partner[i] >= o:
+                    break
                 i = self.partner[i] + 1
             else:
-                return False
-        return True
+                self.quoted[2] = False
+        self.quoted[1] = i
+        return self.quoted[2] and i >= o
 
     def chain_ends(self, s: int, o: int, inner: str, j: int) -> bool:
         """Quotation follows quotation: an exchange that the same sentence tells of goes on (it begins with its first question),
         else each stands alone."""
-        k = j
-        while k < self.b and k in self.partner:
-            k = self.skip(self.partner[k] + 1)
+        if not self.chain[0] <= j < self.chain[1]:
+            k = j
+            while k < self.b and k in self.partner:
+                k = self.skip(self.partner[k] + 1)
+            self.chain = (j, k)
+        k = self.chain[1]
         if k >= self.b or not (GOES_ON.match(self.t, k) and EXCHANGE.match(self.t, k)):
             return True
         answer = self.t[j + 1 : self.partner.get(j, j + 1)].rstrip()[-1:]
@@ -366,9 +427,14 @@ def sentences(text: str) -> list[tuple[int, int]]:
     near = [text[b:c] in BREAKS for (_, b), (c, _) in zip(lines, lines[1:])]
     wrap = _Wrapping(text, lines, near)
     blocks: list[list[tuple[int, int]]] = []  # each a list of pieces that follow each other without the breaks between them
+    levels = Levels()
     for k, (a, b) in enumerate(lines):
-        if k and near[k - 1]:
+        joined = bool(k and near[k - 1])
+        within = levels.read(text, a, b, joined)
+        if joined:
             how = _between(text, lines[k - 1], (a, b), wrap)
+            if how == "hard" and within and not _stopped(text, *lines[k - 1]):
+                how = "soft"
             if how == "glued":
                 blocks[-1].append((a, b))
                 continue

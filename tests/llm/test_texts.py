@@ -150,3 +150,67 @@ def test_cover_everything_once(spark):
     got = sentences.split(docs(spark, rows)).where("doc_id < 5").collect()
     assert sorted(tuple(r) for r in got) == [(1, 0, 2), (1, 2, 4), (4, 0, 2), (4, 2, 4)]
     assert sentences.split(docs(spark, [])).count() == 0
+
+
+def test_parts_of_items_give_equal_spans_and_texts(spark):
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    items = [(i, word(rnd.randint(60, 200))) for i in range(30)]
+    rows = [(i, word(30) + "。 " + items[i][1][: rnd.randint(40, 60)] + items[(i + 1) % 30][1] + word(40), "s") for i in range(30)] + [(98, items[3][1], "s"), (99, None, "s")]
+    ev = spark.createDataFrame(items, "item_id bigint, text string")
+    for most in (2000,):
+        for op in (leakage.found, leakage.spans, leakage.cleaned):
+            a, b = op(docs(spark, rows), ev), op(docs(spark, rows), ev, most=most)
+            assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr), (op, most)
+
+
+def test_positions_of_composed_characters():
+    for text in ("が\u3099x", "e\u0301\u0323 ﾊﾟ 각\u11a8", "\u1100\u1161\u11a8a\u0bc6\u0bbe", "\u0301x", "ﬁ①㈱Å"):
+        norm, at = leakage.normalize_with_positions(text)
+        assert norm == leakage.normalize(text) and len(at) == len(norm)
+
+
+def encoder():
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    return tiktoken.Encoding("public", pat_str=mixing.PATTERN, mergeable_ranks=load_tiktoken_bpe(mixing.VOCABULARY), special_tokens={})
+
+
+def test_tokens_of_long_texts_are_those_of_the_whole():
+    enc = encoder()
+    for text in ("word " * 23_000, "a" * 300_000, "x" + " " * 1500 + "y" + "\n" * 1200, " " * 1100 + "1", "あ" * 120_000, "a" + "\u3000" * 1001 + "b c"):
+        assert mixing.count_tokens(enc, text) == len(enc.encode_ordinary(text))
+    assert mixing.count_tokens(enc, " " * 2_000_000 + "x") > 0
+
+
+def test_filling_and_inverted_schedules(spark):
+    from pyspark.sql import functions as F
+
+    assert mixing.fill([0.5, 0.3, 0.2], [10, 100, 100], 100) == pytest.approx([10, 54, 36]) and mixing.fill([0.5, 0.5], [1, 2], 100) == [1, 2] and mixing.fill([], [], 5) == []
+    rnd = random.Random(4)
+    knots = {f"s{k}": [(t, rnd.choice([0.0, 1.0, 2.0, rnd.random()])) for t in (0.0, *sorted(rnd.random() for _ in range(k)), 1.0)] for k in range(5)} | {"none": [(0.0, 0.0), (1.0, 0.0)]}
+    sched = spark.createDataFrame([("m", s, [{"t": t, "w": w} for t, w in ks]) for s, ks in knots.items()], "mix string, source string, knots array<struct<t double, w double>>")
+    dones = spark.createDataFrame([(i / 50,) for i in range(51)], "done double")
+    got = mixing.segments(sched).crossJoin(dones).select("source", "done", mixing.position(F.col("done"), F.col("segs")).alias("p")).collect()
+    for r in got:
+        ks = knots[r.source]
+        if sum(w for _, w in ks) == 0:
+            assert abs(r.p - r.done) < 1e-9
+            continue
+        weight = lambda x: next(a + (b - a) * (x - t) / (u - t) if u > t else b for (t, a), (u, b) in zip(ks, ks[1:]) if x <= u)
+        steps = [(i + 0.5) / 20_000 for i in range(20_000)]
+        mass = [weight(x) for x in steps]
+        below = sum(m for x, m in zip(steps, mass) if x <= r.p) / sum(mass)
+        assert abs(below - r.done) < 2e-3, (r, ks)
+
+
+def test_list_levels_and_linear_time():
+    import time
+
+    got = lambda t: [t[a:b] for a, b in sentences.sentences(t)]
+    assert got("- one thing\n    that goes on\n  - below it\n      further\n- next\nend") == ["- one thing\n    that goes on", "- below it\n      further", "- next", "end"]
+    for text in ("(]" * 32_000, "「あ。」" * 20_000, "「" * 30_000 + "」" * 30_000, "12. " * 20_000, '"x." ' * 20_000, "a. " * 30_000):
+        t = time.time()
+        sentences.sentences(text)
+        assert time.time() - t < 5
