@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MARKS = ["入口に届いた", "必要本文を受け取った", "ページ送りを最後まで受け取った", "辿る対象の失敗0", "上限未到達", "全件数表示と一致", "最終URLが承認範囲内", "private保存成功", "解析できた"]  # fixed values
 YES, NO, UNKNOWN = "はい", "いいえ", "分からない"
@@ -32,13 +36,38 @@ def outcomes(manifest: DataFrame) -> DataFrame:
 
 
 def fingerprint(members: DataFrame, group: list[str], name: str, digest: str) -> DataFrame:
-    """Content fingerprint of a set of named members, whatever order or packing they come in.
-
-    Two levels keep memory bounded: members are digested per name-hash bucket, buckets per group; a group of any size costs 256 digests."""
-    line = F.concat(F.coalesce(F.col(name), F.lit("")), F.lit("\x00"), F.coalesce(F.col(digest), F.lit("")), F.lit("\n"))
-    rows = members.select(*group, F.sha2(line, 256).alias("_d"))
-    rows = rows.withColumn("_b", F.substring("_d", 1, 4)).groupBy(*group, "_b").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_d")), ""), 256).alias("_d"), F.count("*").alias("_n"))
-    return rows.groupBy(*group).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_d"))), lambda x: x["_d"]), ""), 256).alias("fingerprint"), F.sum("_n").alias("n_members"))
+    """Content fingerprint of a set of named members, whatever order or packing they come in: SHA-256 over ``name``, a zero byte, ``digest`` and a line break of
+    every member, sorted by name. The digest is sequential by definition, so a group is one task; its members stream through, sorted by the
+    exchange, and only the state of the hash is held. A null name or digest counts as ''."""
+    text = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    rows = members.select(*group, text(name).alias("_n"), text(digest).alias("_d"))
+    lines_ = rows.repartition(*group).sortWithinPartitions(*group, "_n", "_d").select(F.to_json(F.struct(*group), {"ignoreNullFields": "false"}).alias("_k"), F.concat("_n", F.lit("\x00"), "_d", F.lit("\n")).alias("_l"), *group)
+    schema = T.StructType([*[members.schema[g] for g in group], T.StructField("fingerprint", T.StringType()), T.StructField("n_members", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, n, head = None, hashlib.sha256(), 0, None
+        out: list[tuple] = []
+        for batch in batches:
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            begin = 0
+            while begin < len(keys):
+                end = begin
+                while end < len(keys) and keys[end] == keys[begin]:
+                    end += 1
+                if keys[begin] != key:
+                    if key is not None:
+                        out.append((*head, state.hexdigest(), n))
+                    key, state, n, head = keys[begin], hashlib.sha256(), 0, [batch.column(2 + i)[begin].as_py() for i in range(len(group))]
+                state.update("".join(texts[begin:end]).encode())
+                n += end - begin
+                begin = end
+        if key is not None:
+            out.append((*head, state.hexdigest(), n))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types)], names=arrow.names)
+
+    arrow = to_arrow_schema(schema)
+    return lines_.mapInArrow(run, schema)
 
 
 def vanished(snapshot: DataFrame) -> DataFrame:
@@ -87,17 +116,45 @@ def rolling_counts(df: DataFrame, who: str, day: str, days: int) -> DataFrame:
     return per_day.select(who, day, "n", (F.sum("n").over(w) - 1).alias("n_within"))
 
 
+def cap_counts(df: DataFrame, who: str, day: str, caps: dict[str, int]) -> DataFrame:
+    """``rolling_counts`` for several windows at once: a column per cap (name → days) over the same per-day counts."""
+    per_day = df.groupBy(who, day).agg(F.count("*").alias("n"))
+    within = lambda days: F.sum("n").over(Window.partitionBy(who).orderBy(day).rangeBetween(-(days - 1), Window.currentRow)) - 1
+    return per_day.select(who, day, "n", *[within(days).alias(name) for name, days in caps.items()])
+
+
+def congestion(df: DataFrame, who: str, day: str, busy: Column) -> DataFrame:
+    """Days on which a party was busy (``busy`` of any record) and had been so on its previous observed day, too."""
+    per_day = df.groupBy(who, day).agg(F.bool_or(F.coalesce(busy, F.lit(False))).alias("busy"))
+    return per_day.withColumn("goes_on", F.col("busy") & F.coalesce(F.lag("busy").over(Window.partitionBy(who).orderBy(day)), F.lit(False)))
+
+
+def waits(df: DataFrame, who: str, at: str, least: int, delay: Column | None = None) -> DataFrame:
+    """Seconds since the party's previous request and how many it should still have waited: the larger of ``least`` and ``delay`` less what passed."""
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    passed = (micros - F.lag(micros).over(Window.partitionBy(who).orderBy(at))) / 1e6
+    wanted = F.greatest(F.lit(float(least)), F.coalesce(delay.cast("double") if delay is not None else F.lit(0.0), F.lit(0.0)))
+    return df.withColumn("passed", passed).withColumn("short_by", F.greatest(wanted - F.col("passed"), F.lit(0.0)))
+
+
+def moved_back(stamps: DataFrame, key: list[str], order: str, stamp: str) -> DataFrame:
+    """Entries whose date stamp is older than that of the same key one ``order`` before: ``before`` and ``stamp``. Nulls are no stamps."""
+    one = stamps.where(F.col(stamp).isNotNull()).groupBy(*key, order).agg(F.max(stamp).alias(stamp))
+    return one.withColumn("before", F.lag(stamp).over(Window.partitionBy(*key).orderBy(order))).where(F.col(stamp) < F.col("before"))
+
+
 def accept_in_turn(attempts: DataFrame, cap: int, days: int) -> DataFrame:
     """Decide attempts (``route``, ``party``, ``day``) in order of days: refused ones use up nothing. One attempt a day per party, ``cap`` per
-    ``days`` and route. Sequential by nature, hence per party; state is the accepted days within the window."""
+    ``days`` and route. Of equal attempts only the first can be accepted, so they are counted before the exchange. Sequential by nature, hence
+    per party; the attempts stream through in order, state is the accepted days within the window."""
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        del key
-        last: int | None = None
-        kept: dict[str, list[int]] = {}
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        party, last, kept = None, None, {}
         for pdf in batches:
             got = []
-            for route, day in zip(pdf.route, pdf.day):
+            for who, route, day in zip(pdf.party, pdf.route, pdf.day):
+                if who != party:
+                    party, last, kept = who, None, {}
                 mine = [d for d in kept.get(route, []) if day - d < days]
                 ok = last != day and len(mine) < cap
                 if ok:
@@ -105,10 +162,8 @@ def accept_in_turn(attempts: DataFrame, cap: int, days: int) -> DataFrame:
                     mine.append(day)
                 kept[route] = mine
                 got.append(ok)
-            yield pdf.assign(accepted=got)[["party", "route", "day", "accepted"]]
-
-    def all_at_once(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["day", "route"], kind="stable")
-        return pd.concat(list(run((), iter([pdf]))))
+            yield pdf.assign(first=got)[["party", "route", "day", "n", "first"]]
 
-    return attempts.select("party", "route", "day").groupBy("party").applyInPandas(all_at_once, "party string, route string, day int, accepted boolean")
+    one = attempts.groupBy("party", "route", "day").agg(F.count("*").alias("n")).repartition("party").sortWithinPartitions("party", "day", "route")
+    decided = one.select("party", "route", F.col("day").cast("int").alias("day"), "n").mapInPandas(run, "party string, route string, day int, n bigint, first boolean")
+    return decided.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("party", "route", "day", (F.col("first") & (F.col("i") == 1)).alias("accepted"))

@@ -208,6 +208,10 @@ QUERIES = {
     "vanished": lambda s, d: observe.vanished(table(s, d, "fetch_manifest")),
     "complete_marks": lambda s, d: s.createDataFrame(MARK_ROWS, "id int, marks map<string,string>").select("id", observe.complete(F.col("marks"), ["入口に届いた", "解析できた"]).alias("complete")),
     "rolling_cap": lambda s, d: observe.rolling_counts(events_by_day(s, d), "user_id", "day", 7),
+    "four_caps": lambda s, d: observe.cap_counts(events_by_day(s, d), "user_id", "day", {"in_1": 1, "in_7": 7, "in_30": 30}),
+    "congestion": lambda s, d: observe.congestion(table(s, d, "events").select("user_id", F.datediff(F.col("ts").cast("date"), F.lit("2020-01-01").cast("date")).alias("day"), "event_type"), "user_id", "day", F.col("event_type") == "error"),
+    "waits": lambda s, d: observe.waits(table(s, d, "events").select("event_id", "user_id", "ts"), "user_id", "ts", 3600).where("short_by > 0").groupBy("user_id").agg(F.count("*").alias("n")),
+    "moved_back": lambda s, d: observe.moved_back(table(s, d, "fetch_manifest"), ["path"], "run_no", "fetched_at").select("path", "run_no"),
     "prev_observation": lambda s, d: observe.previous(events_by_day(s, d).distinct(), "user_id", "day"),
     "accept_in_turn": lambda s, d: observe.accept_in_turn(events_by_day(s, d).select(F.col("user_id").cast("string").alias("party"), F.lit("r").alias("route"), "day"), 2, 30),
     "robots_match": robots_match,
@@ -351,7 +355,13 @@ SQL = {
     "blank_rows": r"""SELECT row_id FROM incidents WHERE regexp_full_match(coalesce("罪名", ''), '[\s\p{Z}\x{200B}\x{85}]*') AND regexp_full_match(coalesce("発生時（始期）", ''), '[\s\p{Z}\x{200B}\x{85}]*')""",
     "run_summary": "SELECT run_no, 'status' AS kind, coalesce(status, '') AS value, count(*) AS n FROM fetch_manifest GROUP BY ALL UNION ALL SELECT run_no, 'result', coalesce(result, ''), count(*) FROM fetch_manifest GROUP BY ALL",
     "snapshot_outcomes": f"SELECT run_no, path, CASE WHEN content IS NULL AND before IS NULL THEN 'missing' WHEN content IS NULL THEN 'kept_previous' WHEN before IS NULL THEN 'new' WHEN content = before THEN 'same' ELSE 'changed' END AS outcome FROM (SELECT *, last_value(content IGNORE NULLS) OVER (PARTITION BY path ORDER BY run_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM {_MANIFEST_ONE})",
-    "content_fingerprint": "SELECT run_no, sha256(string_agg(d, '' ORDER BY b)) AS fingerprint, sum(n)::BIGINT AS n_members FROM (SELECT run_no, left(d, 4) AS b, sha256(string_agg(d, '' ORDER BY d)) AS d, count(*) AS n FROM (SELECT run_no, sha256(coalesce(path, '') || chr(0) || coalesce(sha256, '') || chr(10)) AS d FROM fetch_manifest) GROUP BY run_no, left(d, 4)) GROUP BY run_no",
+    "content_fingerprint": "SELECT run_no, sha256(string_agg(coalesce(path, '') || chr(0) || coalesce(sha256, '') || chr(10), '' ORDER BY coalesce(path, ''), coalesce(sha256, ''))) AS fingerprint, count(*) AS n_members FROM fetch_manifest GROUP BY run_no",
+    "four_caps": f"SELECT user_id, day, n, " + ", ".join(f"(sum(n) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN {k - 1} PRECEDING AND CURRENT ROW) - 1)::BIGINT AS in_{k}" for k in (1, 7, 30)) + f" FROM (SELECT user_id, day, count(*) AS n FROM {_DAYS} GROUP BY ALL)",
+    "congestion": "SELECT *, busy AND coalesce(lag(busy) OVER (PARTITION BY user_id ORDER BY day), FALSE) AS goes_on FROM (SELECT user_id, date_diff('day', DATE '2020-01-01', ts::DATE)::INT AS day, bool_or(coalesce(event_type = 'error', FALSE)) AS busy FROM events GROUP BY ALL)",
+    "waits": "SELECT user_id, count(*) AS n FROM (SELECT user_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) AS us FROM events) WHERE us < 3600000000 GROUP BY user_id",
+    "moved_back": "SELECT path, run_no FROM (SELECT path, run_no, f, lag(f) OVER (PARTITION BY path ORDER BY run_no) AS b FROM (SELECT path, run_no, max(fetched_at) AS f FROM fetch_manifest WHERE fetched_at IS NOT NULL GROUP BY ALL)) WHERE f < b",
+    "sitemap": f"SELECT '<url><loc>{BASE}/cho/' || key_codes[1] || '.html</loc></url>' AS line FROM areas",
+    "heading_scan": "SELECT 'cho/' || key_codes[1] || '.html' AS path, name || '（' || city_name || '）' AS heading FROM areas, (VALUES (1), (2)) t(i)",
     "vanished": "WITH k AS (SELECT DISTINCT run_no, path FROM fetch_manifest), r AS (SELECT run_no, lead(run_no) OVER (ORDER BY run_no) AS nx FROM (SELECT DISTINCT run_no FROM k)) SELECT r.nx AS run_no, count(*) AS n_before, count(*) FILTER (c.path IS NULL) AS n_gone, count(*) FILTER (c.path IS NULL) * 2 >= count(*) AS alarm FROM k JOIN r ON r.run_no = k.run_no AND r.nx IS NOT NULL LEFT JOIN k c ON c.run_no = r.nx AND c.path = k.path GROUP BY r.nx",
     "complete_marks": "SELECT * FROM (VALUES (1, TRUE), (2, FALSE), (3, NULL), (4, FALSE), (5, NULL)) t(id, complete)",
     "rolling_cap": f"SELECT user_id, day, n, (sum(n) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN 6 PRECEDING AND CURRENT ROW) - 1)::BIGINT AS n_within FROM (SELECT user_id, day, count(*) AS n FROM {_DAYS} GROUP BY ALL)",

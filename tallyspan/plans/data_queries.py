@@ -46,6 +46,8 @@ QUERIES = {
 
 SQL = {
     "p2_found": REJECTS_SQL,
+    "p2_report": f"""SELECT _file, outcome, count(*) AS n_records FROM (SELECT r._file, coalesce(x.reason, 'loaded') AS outcome FROM raw_records r LEFT JOIN ({REJECTS_SQL}) x ON x.line_id = r.line_id
+      WHERE coalesce(r.line_no, 0) <> 1 AND r.raw IS NOT NULL AND NOT regexp_full_match(r.raw, '[\\s\\p{{Z}}\\x{{FEFF}}",\\t;|]*')) GROUP BY ALL""",
     "p4_found": snapshot.CHANGES_SQL,
     "p4_report": f"SELECT run_no, change, count(*) AS n_paths FROM ({snapshot.CHANGES_SQL}) GROUP BY ALL",
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import io
+import re
 import struct
 import zipfile
 from collections.abc import Iterator
@@ -46,21 +47,25 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return binary(spark, path, pattern).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
 
 
+BREAK = re.compile(r"\r\n|\r|\n")
+
+
 def read_incident_csv(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """Every record of the CSV files below ``path`` in the shape of the raw-record table (``_file``, ``_year``, ``line_no``, ``raw``, ``encoding``).
 
     Decoding keeps line breaks inside quotes: records are cut by a quote-aware reader per file, files are spread over tasks."""
 
     def records(text: str) -> Iterator[str]:
-        part: list[str] = []
-        for line in text.splitlines(keepends=True):
-            part.append(line)
-            joined = "".join(part)
-            if joined.count('"') % 2 == 0:
-                yield joined.rstrip("\r\n")
-                part = []
-        if part:
-            yield "".join(part).rstrip("\r\n")
+        # cut at CR and LF only; marks are counted line by line, so an unclosed quotation costs nothing twice
+        begin = at = marks = 0
+        for m in BREAK.finditer(text):
+            marks += text.count('"', at, m.start())
+            at = m.end()
+            if marks % 2 == 0:
+                yield text[begin : m.start()]
+                begin, marks = at, 0
+        if begin < len(text):
+            yield text[begin:].rstrip("\r\n")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -127,8 +132,23 @@ def read_dbf(data: bytes, encoding: str = "cp932") -> list[dict]:
     return out
 
 
+def _turns_left(ring: tuple) -> bool:
+    """Counter-clockwise ring (x and y alternate): a hole of a shapefile polygon."""
+    x, y = ring[::2], ring[1::2]
+    return sum((x[k + 1] - x[k]) * (y[k + 1] + y[k]) for k in range(len(x) - 1)) < 0
+
+
+def _holds(ring: tuple, px: float, py: float) -> bool:
+    x, y, hit = ring[::2], ring[1::2], False
+    for k in range(len(x) - 1):
+        if (y[k] > py) != (y[k + 1] > py) and px < (x[k + 1] - x[k]) * (py - y[k]) / (y[k + 1] - y[k]) + x[k]:
+            hit = not hit
+    return hit
+
+
 def read_shp(data: bytes) -> list[bytes | None]:
-    """Polygons of a shapefile as WKB, in order; null shapes stay null. Each ring becomes a polygon of its own."""
+    """Polygons of a shapefile as WKB, in order; null shapes stay null. A clockwise ring is a polygon, any other a hole of the polygon that holds it (of
+    none: a polygon itself)."""
     out, at = [], 100
     while at + 8 <= len(data):
         (words,) = struct.unpack_from(">I", data, at + 4)
@@ -140,10 +160,16 @@ def read_shp(data: bytes) -> list[bytes | None]:
         parts, points = struct.unpack_from("<ii", body, 36)
         begins = [*struct.unpack_from(f"<{parts}i", body, 44), points]
         base = 44 + 4 * parts
-        polygons = b""
-        for a, b in zip(begins, begins[1:]):
-            polygons += struct.pack("<BIII", 1, 3, 1, b - a) + body[base + 16 * a : base + 16 * b]
-        out.append(struct.pack("<BII", 1, 6, parts) + polygons)
+        rings = [struct.unpack_from(f"<{2 * (b - a)}d", body, base + 16 * a) for a, b in zip(begins, begins[1:])]
+        polygons = [[r] for r in rings if not _turns_left(r)]
+        for r in (r for r in rings if _turns_left(r)):
+            home = next((p for p in polygons if _holds(p[0], r[0], r[1])), None)
+            if home is None:
+                polygons.append([r])
+            else:
+                home.append(r)
+        packed = b"".join(struct.pack("<BII", 1, 3, len(p)) + b"".join(struct.pack("<I", len(r) // 2) + struct.pack(f"<{len(r)}d", *r) for r in p) for p in polygons)
+        out.append(struct.pack("<BII", 1, 6, len(polygons)) + packed)
     return out
 
 

@@ -161,3 +161,24 @@ def test_stream_takes_each_record_once(spark, tmp_path):
         rows.withColumn("line_id", F.lit(i).cast("long")).write.mode("append").parquet(src)
         ingest.ingest(spark, src, out, cp).awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_records_are_cut_at_line_breaks_only(spark, tmp_path):
+    from tallyspan.sources import files
+
+    (tmp_path / "a_2020.csv").write_text('h1,h2\na\u2028b,"x\ny"\r\nc\x0cd,e\n"open,' + "z\n" * 20_000, encoding="utf-8", newline="")
+    got = [r.raw for r in files.read_incident_csv(spark, str(tmp_path)).orderBy("line_no").collect()]
+    assert got[:3] == ["h1,h2", 'a\u2028b,"x\ny"', "c\x0cd,e"] and len(got) == 4 and got[3].startswith('"open,z')
+
+
+def test_holes_of_shapes_stay_holes():
+    import struct
+
+    from tallyspan.operators.boundary import polygons
+    from tallyspan.sources.files import read_shp
+
+    outer, hole, island = [(0, 0), (0, 9), (9, 9), (9, 0), (0, 0)], [(2, 2), (4, 2), (4, 4), (2, 4), (2, 2)], [(20, 0), (20, 1), (21, 1), (21, 0), (20, 0)]
+    points = [p for ring in (outer, hole, island) for p in ring]
+    body = struct.pack("<i4d2i3i", 5, 0, 0, 21, 9, 3, 15, 0, 5, 10) + b"".join(struct.pack("<2d", *p) for p in points)
+    (wkb,) = read_shp(b"\0" * 100 + struct.pack(">2I", 1, len(body) // 2) + body)
+    assert [len(p) for p in polygons(wkb)] == [2, 1]

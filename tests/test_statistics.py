@@ -221,3 +221,37 @@ def test_templates():
     for bad in ({}, {"x": "1", "y": "2"}):
         with pytest.raises(ValueError):
             publish.render("a {{x}} b", bad)
+
+
+def test_fingerprint_is_the_digest_of_the_sorted_members(spark):
+    import hashlib
+
+    rows = [(g, f"n{i}", None if i == 3 else f"d{i}") for g in ("a", "b", None) for i in range(2500)] + [("c", None, "x")]
+    got = {r.g: (r.fingerprint, r.n_members) for r in observe.fingerprint(spark.createDataFrame(rows, "g string, n string, d string").repartition(5), ["g"], "n", "d").collect()}
+    for g in ("a", "b", None, "c"):
+        mine = sorted((n or "", d or "") for k, n, d in rows if k == g)
+        assert got[g] == (hashlib.sha256("".join(f"{n}\0{d}\n" for n, d in mine).encode()).hexdigest(), len(mine))
+    assert observe.fingerprint(spark.createDataFrame([], "g string, n string, d string"), ["g"], "n", "d").count() == 0
+
+
+def test_stamps_caps_and_repeated_attempts(spark):
+    stamps = spark.createDataFrame([("p", 1, "2024-01-05"), ("p", 2, "2024-01-04"), ("p", 3, None), ("p", 4, "2024-01-04"), ("q", 1, "2024-01-01")], "path string, run_no int, stamp string")
+    assert [(r.path, r.run_no, r.before) for r in observe.moved_back(stamps, ["path"], "run_no", "stamp").collect()] == [("p", 2, "2024-01-05")]
+    days = spark.createDataFrame([("a", 1, True), ("a", 3, True), ("a", 4, False), ("a", 9, True)], "who string, day int, busy boolean")
+    assert {r.day: r.goes_on for r in observe.congestion(days, "who", "day", F.col("busy")).collect()} == {1: False, 3: True, 4: False, 9: False}
+    tries = spark.createDataFrame([("p", "r", 1)] * 5000 + [("q", "r", 2), (None, "r", 1)], "party string, route string, day int")
+    got = observe.accept_in_turn(tries, 2, 30)
+    assert got.count() == 5002 and {(r.party, r.n) for r in got.where("accepted").groupBy("party").agg(F.count("*").alias("n")).collect()} == {("p", 1), ("q", 1), (None, 1)}
+
+
+def test_grid_bars_and_parents(spark):
+    cells = spark.createDataFrame([("a", 1, 1, "small", None), ("a", 2, 2, "small", None), ("a", 3, 9, "shown", 9)], "city string, area_id long, v long, state string, published long").withColumns({"layer": F.lit("l"), "pop": F.lit(900)})
+    assert {(r.edition, r.n) for r in audit.editions(cells).groupBy("edition").agg(F.count("published").alias("n")).collect()} == {("raw", 3), ("primary", 1), ("final", 1)}
+    cities = spark.createDataFrame([("a", "x", 5), ("a", "y", None), ("b", "x", 4), ("b", "y", 3)], "city string, category string, count long")
+    layers = spark.createDataFrame([("l", "x"), ("l", "y")], "layer string, category string")
+    assert {r.city: r.s for r in audit.published_parents(cities, layers).collect()} == {"a": None, "b": 7}
+    page = '<tr><td class="v num">1-2件</td><td class="barcell"><i style="width:3.0%"></i></td></tr><tr><td class="v num">非公開</td><td class="barcell"></td></tr><tr><td class="v num">9件</td><td class="barcell"><i style="width:90.0%"></i></td></tr>'
+    assert {(r.label, r.leaks) for r in audit.bar_leaks(spark.createDataFrame([("p", page)], "path string, html string")).collect()} == {("1-2件", True), ("非公開", False)}
+    with_parent = audit.intervals(cells.withColumn("g", F.lit("g")), spark.createDataFrame([("g", 12)], "g string, s long"), ["g"])
+    assert {(r.area_id, r.solved) for r in with_parent.where("state <> 'shown'").collect()} == {(1, False), (2, False)}
+    assert audit.missing_parents(cells, ["city"], spark.createDataFrame([("z",)], "city string")).count() == 2
